@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The word pattern and the quote-line pattern the results depend on.
+# The patterns the results depend on.
 WORD = r"[\p{L}\p{N}_]{2,}"
+SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]+"
 QUOTE_LINE = r"(writes in|writes:|wrote:|says:|said:|^In article|^Quoted from|^\||^>)"
 FOOTER_LINE = r"^\s*-*\s*$"
 
@@ -22,7 +23,7 @@ def word_tokens(text: Column) -> Column:
 
 def whitespace_tokens(text: Column) -> Column:
     """Runs between white space, case and punctuation kept."""
-    return F.filter(F.split(known_text(text), r"\s+"), lambda t: t != "")
+    return F.filter(F.split(known_text(text), SPACE), lambda t: t != "")
 
 
 def ngrams(tokens: Column, low: int, high: int) -> Column:
