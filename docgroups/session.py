@@ -19,7 +19,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="docgroups-")
-    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
 
@@ -30,9 +29,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive lost executors and loops keep short plans."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them back.
+
+    Loops keep short plans, lost executors cost nothing already computed, and the next plan knows the
+    true size of the table, so small ones are broadcast without a hint.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_bytes(df: DataFrame) -> int:
