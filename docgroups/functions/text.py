@@ -26,31 +26,29 @@ def whitespace_tokens(text: Column) -> Column:
     return F.filter(F.split(known_text(text), SPACE), lambda t: t != "")
 
 
+def _runs(parts: Column, n: int, glue: str) -> Column:
+    """Runs of ``n`` neighbours, built by zipping the list with itself shifted by one: linear in its length."""
+    runs, count = parts, F.size(parts)
+    for shift in range(1, n):
+        length = F.greatest(count - shift, F.lit(0))
+        runs = F.zip_with(
+            F.slice(runs, F.lit(1), length), F.slice(parts, F.lit(shift + 1), length),
+            lambda a, b: F.concat(a, F.lit(glue), b),
+        )
+    return runs
+
+
 def ngrams(tokens: Column, low: int, high: int) -> Column:
     """All n-grams with ``low <= n <= high``, words joined by one space."""
-    if (low, high) == (1, 1):
-        return tokens
     if not 1 <= low <= high:
         raise ValueError(f"bad n-gram range ({low}, {high})")
-
-    def of_size(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-        return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(*[of_size(n) for n in range(low, high + 1)])
+    return F.concat(*[_runs(tokens, n, " ") for n in range(low, high + 1)])
 
 
 def char_ngrams(word: Column, low: int = 3, high: int = 6) -> Column:
     """Character n-grams of ``<word>``, the marks showing where the word starts and ends."""
-    marked = F.concat(F.lit("<"), word, F.lit(">"))
-
-    def of_size(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(marked) - F.lit(n - 1))
-        grams = F.transform(starts, lambda i: F.substring(marked, i, F.lit(n)))
-        return F.when(F.length(marked) >= n, grams).otherwise(F.array().cast("array<string>"))
-
-    return F.concat(*[of_size(n) for n in range(low, high + 1)])
+    letters = F.split(F.concat(F.lit("<"), word, F.lit(">")), "")
+    return F.concat(*[_runs(letters, n, "") for n in range(low, high + 1)])
 
 
 def strip_header(text: Column) -> Column:
@@ -62,10 +60,7 @@ def strip_header(text: Column) -> Column:
 def strip_footer(text: Column) -> Column:
     """Drop everything from the last blank or dashes-only line on, unless that is the first line."""
     lines = F.split(F.regexp_replace(text, r"^\s+|\s+$", ""), "\n", -1)
-    marks = F.filter(
-        F.sequence(F.lit(0), F.size(lines) - 1),
-        lambda i: F.get(lines, i).rlike(FOOTER_LINE),
-    )
+    marks = F.transform(lines, lambda line, i: F.when(line.rlike(FOOTER_LINE), i))
     last = F.coalesce(F.array_max(marks), F.lit(0))
     return F.when(last > 0, F.array_join(F.slice(lines, F.lit(1), last), "\n")).otherwise(text)
 

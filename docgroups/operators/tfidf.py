@@ -154,3 +154,12 @@ def packed_rows(weights: DataFrame, terms: DataFrame) -> DataFrame:
     cells = F.array_sort(F.collect_list(F.struct("term_id", "tfidf")))
     rows = joined.groupBy(F.col("doc_id").alias("id")).agg(cells.alias("cells"))
     return rows.select("id", F.col("cells.term_id").alias("idx"), F.col("cells.tfidf").alias("val"))
+
+
+def variant_weights(counts: DataFrame, vocabularies: DataFrame, n_docs: int, variants: dict = VARIANTS) -> DataFrame:
+    """``(variant, doc_id, term, tfidf)`` of all settings, from one count of the tokens."""
+    sublinear = [name for name, v in variants.items() if v["sublinear_tf"]]
+    joined = counts.join(broadcast_if_small(vocabularies), "term")
+    tf = F.when(F.col("variant").isin(sublinear), tf_weight(F.col("tf"), True)).otherwise(tf_weight(F.col("tf"), False))
+    rows = joined.select("variant", "doc_id", "term", (tf * smooth_idf(F.col("df"), n_docs)).alias("w"))
+    return unit_rows(rows, ["variant", "doc_id"])
