@@ -151,9 +151,18 @@ def ranked_terms(vocabulary: DataFrame) -> DataFrame:
 def packed_rows(weights: DataFrame, terms: DataFrame) -> DataFrame:
     """``(id, idx, val)``: one sparse row per document, term ids ascending."""
     joined = weights.join(broadcast_if_small(terms.select("term", "term_id")), "term")
-    cells = F.array_sort(F.collect_list(F.struct("term_id", "tfidf")))
-    rows = joined.groupBy(F.col("doc_id").alias("id")).agg(cells.alias("cells"))
-    return rows.select("id", F.col("cells.term_id").alias("idx"), F.col("cells.tfidf").alias("val"))
+    entries = F.array_sort(F.collect_list(F.struct("term_id", "tfidf")))
+    rows = joined.groupBy(F.col("doc_id").alias("id")).agg(entries.alias("entries"))
+    return rows.select("id", F.col("entries.term_id").alias("idx"), F.col("entries.tfidf").alias("val"))
+
+
+def with_zero_rows(packed: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Add the documents without a weighted term as empty rows."""
+    every = corpus.select(F.col("doc_id").alias("id")).join(packed, "id", "left")
+    return every.select(
+        "id", F.coalesce("idx", F.array().cast("array<long>")).alias("idx"),
+        F.coalesce("val", F.array().cast("array<double>")).alias("val"),
+    )
 
 
 def variant_weights(counts: DataFrame, vocabularies: DataFrame, n_docs: int, variants: dict = VARIANTS) -> DataFrame:

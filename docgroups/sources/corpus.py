@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from docgroups.functions.text import clean_post, known_text
 from docgroups.operators.labels import encode_labels
 
+# Key, text and truth columns of the known tables.
 TABLES = {
-    "documents": ("doc_id", "text", "lang"),
-    "conversations": ("conv_id", "text", "role"),
+    "documents": (["doc_id"], "text", "lang"),
+    "conversations": (["conv_id", "turn"], "text", "role"),
 }
 
 
@@ -52,10 +53,14 @@ def read_posts(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
 
 
 def read_table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
-    """A Parquet table as a corpus; the truth column of each known table is its label name."""
-    doc_id, text, label = TABLES[name]
+    """A Parquet table as a corpus; the truth column of each known table is its label name.
+
+    A key of several columns is hashed to one id.
+    """
+    key, text, label = TABLES[name]
+    doc_id = F.col(key[0]) if len(key) == 1 else F.xxhash64(*key)
     rows = spark.read.parquet(f"{folder}/{name}.parquet").select(
-        F.col(doc_id).alias("doc_id"),
+        doc_id.alias("doc_id"),
         known_text(F.col(text)).alias("text"),
         F.col(label).alias("label_name"),
     )
