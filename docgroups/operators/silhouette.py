@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from docgroups.functions.arrays import lists, matrix, unit, unit_matrix, vector_sum
 from docgroups.operators.blocks import TILE_ROWS, block_count, cells
-from docgroups.session import BROADCAST_BYTES
+from docgroups.session import BROADCAST_BYTES, cut
 
 PAIR_BLOCK_ROWS = 4096
 SCORES = "id long, a array<double>, b array<double>, s array<double>"
@@ -187,7 +187,7 @@ def many_group_silhouettes(rows: DataFrame, keys: tuple = (), group_block: int =
     """
     keys = list(keys)
     rows = rows.withColumn("vec", unit(F.col("vec")))
-    groups = rows.groupBy(*keys, "cluster").agg(F.count("*").alias("n"), vector_sum(F.col("vec")).alias("total"))
+    groups = cut(rows.groupBy(*keys, "cluster").agg(F.count("*").alias("n"), vector_sum(F.col("vec")).alias("total")))
     n_rows, n_groups = rows.count(), groups.count()
     row_blocks = max(1, -(-n_rows // 65_536), min(rows.sparkSession.sparkContext.defaultParallelism, n_rows // 256))
     group_blocks = max(1, -(-n_groups // group_block))
