@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -22,6 +23,8 @@ OVERSAMPLE = 10
 PASSES = 6
 BASIS_BYTES = 128 * 1024 * 1024
 DOCS_AT_ONCE = 64
+TERMS_AT_ONCE = 1024
+FAN_IN = 32
 
 
 def allowed_sizes(sizes, n_rows: int, n_columns: int) -> list[int]:
@@ -44,6 +47,27 @@ def _sparse_chunks(batch: pa.RecordBatch):
         yield at, used, dense
 
 
+def _sum_parts(parts: DataFrame, n_parts: int) -> DataFrame:
+    """Add the ``(part, term_id, vec)`` rows of all tasks, at most ``FAN_IN`` tasks and
+    ``TERMS_AT_ONCE`` terms to a group, in as many levels as that takes."""
+    def add(table: pa.Table) -> pa.Table:
+        ids, at = np.unique(table["term_id"].to_numpy(), return_inverse=True)
+        rows = matrix(table["vec"])
+        total = np.zeros((len(ids), rows.shape[1]))
+        np.add.at(total, at, rows)
+        part = np.full(len(ids), table["part"][0].as_py(), dtype=np.int32)
+        return pa.table({"part": part, "term_id": ids, "vec": lists(total)})
+
+    while n_parts > 1:
+        n_parts = -(-n_parts // FAN_IN)
+        merged = parts.withColumn("part", F.pmod("part", F.lit(n_parts)))
+        block = F.floor(F.col("term_id") / TERMS_AT_ONCE)
+        parts = merged.groupBy("part", block).applyInArrow(
+            lambda key, table: add(table), "part int, term_id long, vec array<double>"
+        )
+    return parts
+
+
 def _scan_terms(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
     """A'A times the basis in one scan; each task sends only the terms it saw."""
     def product(batches):
@@ -53,13 +77,15 @@ def _scan_terms(packed: DataFrame, basis: np.ndarray) -> np.ndarray:
                 for _, used, dense in _sparse_chunks(batch):
                     total[used] += dense.T @ (dense @ basis[used])
                     seen[used] = True
-        at = np.flatnonzero(seen)
-        for start in range(0, at.size, 4096):
-            part = at[start:start + 4096]
-            yield pa.RecordBatch.from_pydict({"term_id": part, "vec": lists(total[part])})
-
-    parts = packed.select("idx", "val").mapInArrow(product, "term_id long, vec array<double>")
-    summed = parts.groupBy("term_id").agg(vector_sum(F.col("vec")).alias("vec")).toArrow()
+        at, part = np.flatnonzero(seen), TaskContext.get().partitionId()
+        for start in range(0, at.size, TERMS_AT_ONCE):
+            ids = at[start:start + TERMS_AT_ONCE]
+            yield pa.RecordBatch.from_pydict(
+                {"part": np.full(ids.size, part, dtype=np.int32), "term_id": ids, "vec": lists(total[ids])}
+            )
+
+    parts = packed.select("idx", "val").mapInArrow(product, "part int, term_id long, vec array<double>")
+    summed = _sum_parts(parts, packed.rdd.getNumPartitions()).select("term_id", "vec").toArrow()
     out = np.zeros_like(basis)
     if summed.num_rows:
         out[summed["term_id"].to_numpy()] = matrix(summed["vec"])

@@ -34,9 +34,8 @@ vv AS (SELECT variant, sub, term, df FROM freq, n, settings WHERE df >= low AND
 
 
 def word_tokens(spark, d):
-    words = documents(spark, d).select("doc_id", F.explode(text.word_tokens(F.col("text"))).alias("term"))
-    per_doc = words.groupBy("term", "doc_id").agg(F.count("*").alias("n"))
-    return per_doc.groupBy("term").agg(F.sum("n").alias("n_tokens"), F.count("*").alias("n_docs"))
+    frequencies, _ = _frequencies(spark, d)
+    return frequencies.select("term", F.col("total").alias("n_tokens"), F.col("df").alias("n_docs"))
 
 
 def whitespace_tokens(spark, d):
@@ -45,8 +44,8 @@ def whitespace_tokens(spark, d):
 
 
 def ngrams(spark, d):
-    grams = text.ngrams(text.word_tokens(F.col("text")), 1, 2)
-    return documents(spark, d).select(F.explode(grams).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    grams = tfidf.document_frequencies(tfidf.term_counts(documents(spark, d), (1, 2)))
+    return grams.select(F.col("term").alias("gram"), F.col("total").alias("n"))
 
 
 def _frequencies(spark, d):
