@@ -39,16 +39,23 @@ def _runs(parts: Column, n: int, glue: str) -> Column:
 
 
 def ngrams(tokens: Column, low: int, high: int) -> Column:
-    """All n-grams with ``low <= n <= high``, words joined by one space."""
+    """All n-grams with ``low <= n <= high``, words joined by one space.
+
+    Pass a column of an earlier select: an expression would be evaluated once per use.
+    """
     if not 1 <= low <= high:
         raise ValueError(f"bad n-gram range ({low}, {high})")
     return F.concat(*[_runs(tokens, n, " ") for n in range(low, high + 1)])
 
 
-def char_ngrams(word: Column, low: int = 3, high: int = 6) -> Column:
-    """Character n-grams of ``<word>``, the marks showing where the word starts and ends."""
-    letters = F.split(F.concat(F.lit("<"), word, F.lit(">")), "")
-    return F.concat(*[_runs(letters, n, "") for n in range(low, high + 1)])
+def letters(word: Column) -> Column:
+    """The characters of ``<word>``, the marks showing where the word starts and ends."""
+    return F.split(F.concat(F.lit("<"), word, F.lit(">")), "")
+
+
+def char_ngrams(letters_: Column, low: int = 3, high: int = 6) -> Column:
+    """Character n-grams over a column of ``letters``."""
+    return F.concat(*[_runs(letters_, n, "") for n in range(low, high + 1)])
 
 
 def strip_header(text: Column) -> Column:

@@ -36,9 +36,9 @@ def df_bound(value, n_docs: int) -> float:
 
 def term_counts(corpus: DataFrame, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
     """``(doc_id, term, tf)``."""
-    tokens = ngrams(word_tokens(F.col("text")), *ngram_range)
-    words = corpus.select("doc_id", "text").repartition("doc_id").select("doc_id", F.explode(tokens).alias("term"))
-    return words.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    tokens = corpus.select("doc_id", "text").repartition("doc_id").select("doc_id", word_tokens(F.col("text")).alias("tokens"))
+    terms = F.col("tokens") if ngram_range == (1, 1) else ngrams(F.col("tokens"), *ngram_range)
+    return tokens.select("doc_id", F.explode(terms).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:

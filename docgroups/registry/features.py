@@ -118,7 +118,8 @@ def known_token_means(spark, d):
 
 def char_ngrams(spark, d):
     words = documents(spark, d).select(F.explode(text.whitespace_tokens(F.col("text"))).alias("token")).distinct()
-    return words.select(F.explode(text.char_ngrams(F.col("token"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n_words"))
+    spelled = words.select(text.letters(F.col("token")).alias("letters"))
+    return spelled.select(F.explode(text.char_ngrams(F.col("letters"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n_words"))
 
 
 def word2vec(spark, d):

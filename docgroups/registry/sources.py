@@ -51,7 +51,8 @@ def _as_post(text_col, name):
 def clean_posts(spark, d):
     rows = table(spark, d, "documents")
     post = _as_post(F.coalesce("text", F.lit("")), F.col("source"))
-    return rows.select("doc_id", F.md5(text.clean_post(post)).alias("hash"), F.length(text.clean_post(post)).alias("chars"))
+    cleaned = rows.select("doc_id", post.alias("post")).select("doc_id", text.clean_post(F.col("post")).alias("clean"))
+    return cleaned.select("doc_id", F.md5("clean").alias("hash"), F.length("clean").alias("chars"))
 
 
 def clean_pages(spark, d):

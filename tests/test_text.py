@@ -34,8 +34,8 @@ def test_bad_ngram_range():
 
 
 def test_char_ngrams(spark):
-    assert one(spark, "ab", text.char_ngrams) == ["<ab", "ab>", "<ab>"]
-    assert one(spark, "äbc", lambda t: text.char_ngrams(t, 3, 3)) == ["<äb", "äbc", "bc>"]
+    assert one(spark, "ab", lambda t: text.char_ngrams(text.letters(t))) == ["<ab", "ab>", "<ab>"]
+    assert one(spark, "äbc", lambda t: text.char_ngrams(text.letters(t), 3, 3)) == ["<äb", "äbc", "bc>"]
 
 
 POST = "From: a\nSubject: b\n\n>old\nJoe wrote:\nbody\n| bar\nmore\n--\nJoe"
