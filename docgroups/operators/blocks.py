@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 8192
 TILE_ROWS = 1024
+MAX_TASKS = 20_000
 
 
 def block_count(rows: DataFrame, n_rows: int, block_rows: int = BLOCK_ROWS) -> int:
@@ -31,7 +32,5 @@ def cells(rows: DataFrame, blocks: int, keys: tuple = ()) -> GroupedData:
     sent = sent.withColumn("ci", F.least("block", "with")).withColumn("cj", F.greatest("block", "with")).drop("with")
     n_cells = blocks * (blocks + 1) // 2
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    tasks = min(n_cells, max(8 * cores, 200)) if not keys else max(8 * cores, 200)
-    if n_cells > tasks:
-        tasks = min(n_cells, 20_000)
+    tasks = min(max(n_cells, 2 * cores if keys else 1), MAX_TASKS)
     return sent.repartition(tasks, *keys, "ci", "cj").groupBy(*keys, "ci", "cj")

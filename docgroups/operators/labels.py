@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docgroups.session import broadcast_if_small
+from docgroups.session import broadcast_if_small, cut
 
 
 def label_codes(rows: DataFrame, name: str) -> DataFrame:
@@ -15,8 +15,8 @@ def label_codes(rows: DataFrame, name: str) -> DataFrame:
 
 
 def encode_labels(rows: DataFrame, name: str) -> DataFrame:
-    """Add ``label``; rows without a name get -1."""
-    codes = label_codes(rows, name)
+    """Add ``label``; rows without a name get -1. The few codes go to the rows, not the rows to them."""
+    codes = broadcast_if_small(cut(label_codes(rows, name)))
     return rows.join(codes, name, "left").withColumn("label", F.coalesce("label", F.lit(-1)))
 
 
@@ -64,7 +64,7 @@ def stratified_sample(
         .where(F.col("left") > 0)
         .select(label, "slice", "n", "left")
     )
-    drawn = hashed.join(slices, [label, "slice"])
+    drawn = hashed.join(broadcast_if_small(cut(slices)), [label, "slice"])
     inside = drawn.where("left >= n").select(*rows.columns)
     in_slice = Window.partitionBy(label, "slice").orderBy("h", row_id)
     edge = drawn.where("left < n").withColumn("rank", F.row_number().over(in_slice))

@@ -22,11 +22,14 @@ def width_of(vectors: DataFrame) -> int:
     return len(vectors.select("vec").first()[0])
 
 
-def long_labels(grouped: DataFrame, ks: list[int], size: int) -> DataFrame:
-    """``(n_components, k, id, cluster)`` from one label array per row."""
+def long_labels(grouped: DataFrame, ks: list[int], size: int, truth: DataFrame | None = None) -> DataFrame:
+    """``(n_components, k, id, cluster)`` from one label array per row; with ``truth`` also ``label``,
+    joined once per row and not once per grouping."""
     counts = F.array(*[F.lit(k) for k in ks])
-    rows = grouped.select("id", F.posexplode("labels").alias("g", "cluster"))
-    return rows.select(F.lit(size).alias(SIZE), F.get(counts, F.col("g")).alias("k"), "id", "cluster")
+    known = ["id"] if truth is None else ["id", "label"]
+    grouped = grouped if truth is None else grouped.join(truth.select("id", "label"), "id")
+    rows = grouped.select(*known, F.posexplode("labels").alias("g", "cluster"))
+    return rows.select(F.lit(size).alias(SIZE), F.get(counts, F.col("g")).alias("k"), *known, "cluster")
 
 
 def _silhouettes(grouped: DataFrame, ks: list[int], method: str, size: int) -> DataFrame:
@@ -36,7 +39,8 @@ def _silhouettes(grouped: DataFrame, ks: list[int], method: str, size: int) -> D
 
 
 def kmeans_sweep(
-    vectors: DataFrame, ks: list[int], sizes: list[int] | None = None, seed: int = 42, method: str = "euclidean"
+    vectors: DataFrame, ks: list[int], sizes: list[int] | None = None, seed: int = 42,
+    method: str = "euclidean", truth: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(n_components, k, inertia, silhouette)`` and the assignments ``(n_components, k, id, cluster)``.
 
@@ -50,7 +54,7 @@ def kmeans_sweep(
     for size in sizes:
         grouped = cut(label_sweep(points, fits, size, ks))
         scores.append(_silhouettes(grouped, ks, method, size))
-        labels.append(long_labels(grouped, ks, size))
+        labels.append(long_labels(grouped, ks, size, truth))
     spark = vectors.sparkSession
     costs = spark.createDataFrame(
         [(size, k, fits[(size, k)][1]) for size in sizes for k in ks], f"{SIZE} int, k int, inertia double"
@@ -83,8 +87,8 @@ def scored_sweep(
     seed: int = 42, method: str = "euclidean",
 ) -> DataFrame:
     """``(n_components, k, inertia, silhouette, nmi, ari, ami)`` for ``truth`` ``(id, label)``."""
-    sweep, labels = kmeans_sweep(vectors, ks, sizes, seed, method)
-    scores = score_groups(labels.join(truth, "id"), keys=(SIZE, "k"))
+    sweep, labels = kmeans_sweep(vectors, ks, sizes, seed, method, truth)
+    scores = score_groups(labels, keys=(SIZE, "k"))
     joined = sweep.join(scores.select(SIZE, "k", "nmi", "ari", "ami"), [SIZE, "k"])
     return cut(joined.select(SIZE, "k", "inertia", "silhouette", "nmi", "ari", "ami"))
 

@@ -16,6 +16,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents")
 
 
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    return read_table(spark, folder, "documents", labelled=False)
+
+
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return rows.select(

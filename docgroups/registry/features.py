@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docgroups.functions import text
 from docgroups.operators import tfidf, wordvec
-from docgroups.registry.common import documents, r6
+from docgroups.registry.common import r6, texts
 from docgroups.session import cut
 
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -39,17 +39,17 @@ def word_tokens(spark, d):
 
 
 def whitespace_tokens(spark, d):
-    words = documents(spark, d).select(F.explode(text.whitespace_tokens(F.col("text"))).alias("token"))
+    words = texts(spark, d).select(F.explode(text.whitespace_tokens(F.col("text"))).alias("token"))
     return words.groupBy("token").agg(F.count("*").alias("n"))
 
 
 def ngrams(spark, d):
-    grams = tfidf.document_frequencies(tfidf.term_counts(documents(spark, d), (1, 2)))
+    grams = tfidf.document_frequencies(tfidf.term_counts(texts(spark, d), (1, 2)))
     return grams.select(F.col("term").alias("gram"), F.col("total").alias("n"))
 
 
 def _frequencies(spark, d):
-    corpus = documents(spark, d)
+    corpus = texts(spark, d)
     return tfidf.document_frequencies(tfidf.term_counts(corpus)), corpus.count()
 
 
@@ -62,7 +62,7 @@ def max_features(spark, d):
 
 
 def term_frequency(spark, d):
-    counts = tfidf.term_counts(documents(spark, d))
+    counts = tfidf.term_counts(texts(spark, d))
     return counts.select("doc_id", "term", "tf", r6(tfidf.tf_weight(F.col("tf"), True)).alias("sublinear"))
 
 
@@ -72,17 +72,17 @@ def idf(spark, d):
 
 
 def tfidf_matrix(spark, d):
-    weights, _ = tfidf.build_tfidf(documents(spark, d))
+    weights, _ = tfidf.build_tfidf(texts(spark, d))
     return weights.select("doc_id", "term", "tf", "df", r6("tfidf").alias("tfidf"))
 
 
 def tfidf_bigrams(spark, d):
-    weights, _ = tfidf.build_tfidf(documents(spark, d), min_df=3, max_df=0.8, sublinear_tf=False, max_features=5000, ngram_range=(1, 2))
+    weights, _ = tfidf.build_tfidf(texts(spark, d), min_df=3, max_df=0.8, sublinear_tf=False, max_features=5000, ngram_range=(1, 2))
     return weights.select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 
 def vocabulary(spark, d):
-    corpus = documents(spark, d)
+    corpus = texts(spark, d)
     counts = tfidf.term_counts(corpus)
     terms = tfidf.ranked_terms(tfidf.fit_vocabulary(counts, corpus.count()))
     return terms.select("term", "term_id", "df", r6("idf").alias("idf"))
@@ -95,7 +95,7 @@ def variant_sizes(spark, d):
 
 def variant_grid(spark, d):
     """All four matrices from one count of the tokens."""
-    corpus = documents(spark, d)
+    corpus = texts(spark, d)
     counts = cut(tfidf.term_counts(corpus))
     n = corpus.count()
     weights = tfidf.variant_weights(counts, cut(tfidf.variant_vocabularies(tfidf.document_frequencies(counts), n)), n)
@@ -106,7 +106,7 @@ def variant_grid(spark, d):
 
 def known_token_means(spark, d):
     """Document means over a token table derived from the corpus: length, digits, share of documents."""
-    corpus = documents(spark, d)
+    corpus = texts(spark, d)
     counts = cut(wordvec.token_counts(corpus))
     vectors = counts.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("total")).where("df >= 2")
     vectors = vectors.select("token", F.array(
@@ -117,18 +117,18 @@ def known_token_means(spark, d):
 
 
 def char_ngrams(spark, d):
-    words = documents(spark, d).select(F.explode(text.whitespace_tokens(F.col("text"))).alias("token")).distinct()
+    words = texts(spark, d).select(F.explode(text.whitespace_tokens(F.col("text"))).alias("token")).distinct()
     spelled = words.select(text.letters(F.col("token")).alias("letters"))
     return spelled.select(F.explode(text.char_ngrams(F.col("letters"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("n_words"))
 
 
 def word2vec(spark, d):
-    docs, _ = wordvec.build_word2vec(documents(spark, d), vector_size=100)
+    docs, _ = wordvec.build_word2vec(texts(spark, d), vector_size=100)
     return docs.select("id", F.size("vec").alias("width"), r6(F.array_max("vec")).alias("largest"))
 
 
 def fasttext(spark, d):
-    docs, _ = wordvec.build_fasttext(documents(spark, d), vector_size=32, epochs=1)
+    docs, _ = wordvec.build_fasttext(texts(spark, d), vector_size=32, epochs=1)
     return docs.select("id", F.size("vec").alias("width"), r6(F.array_max("vec")).alias("largest"))
 
 

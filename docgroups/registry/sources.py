@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docgroups.functions import text
 from docgroups.operators import labels, tfidf
-from docgroups.registry.common import documents, r6, table
+from docgroups.registry.common import documents, r6, table, texts
 from docgroups.registry.features import WEIGHTS
 from docgroups.session import scratch_path
 from docgroups.sources import corpus, results
@@ -99,17 +99,17 @@ def hold_out(spark, d):
 
 
 def histogram(spark, d):
-    return labels.class_counts(documents(spark, d))
+    return labels.class_counts(texts(spark, d))
 
 
 def shape(spark, d):
-    rows = documents(spark, d)
+    rows = texts(spark, d)
     weights, _ = tfidf.build_tfidf(rows)
     return tfidf.matrix_shape(rows, weights)
 
 
 def zero_documents(spark, d):
-    rows = documents(spark, d)
+    rows = texts(spark, d)
     weights, _ = tfidf.build_tfidf(rows)
     return tfidf.zero_rows(rows, weights)
 

@@ -52,10 +52,11 @@ def read_posts(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
     return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name")
 
 
-def read_table(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+def read_table(spark: SparkSession, folder: str, name: str = "documents", labelled: bool = True) -> DataFrame:
     """A Parquet table as a corpus; the truth column of each known table is its label name.
 
-    A key of several columns is hashed to one id.
+    A key of several columns is hashed to one id. Without ``labelled`` the codes are left out and
+    nothing is read ahead.
     """
     key, text, label = TABLES[name]
     doc_id = F.col(key[0]) if len(key) == 1 else F.xxhash64(*key)
@@ -64,4 +65,6 @@ def read_table(spark: SparkSession, folder: str, name: str = "documents") -> Dat
         known_text(F.col(text)).alias("text"),
         F.col(label).alias("label_name"),
     )
+    if not labelled:
+        return rows
     return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name")
