@@ -24,7 +24,7 @@ CAPACITY = 1024
 COLUMNS = 8
 LONG_BONUS = 0.05
 WEIGHT_SHARE = 0.01
-RANK_ROWS = 50_000
+RANK_ROWS = 1_000
 CACHE_ENTRIES = 400_000
 UNSAFE = re.compile(r"\s | \s|^ | $|\0")
 
@@ -244,8 +244,8 @@ def pack(rows: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFrame
     for length, n in histogram.items():
         counts[length] = n
     table = spark.sparkContext.broadcast(slots(plan(counts, capacity)))
-    groups = max(1, -(-int(counts.max()) // RANK_ROWS))
-    dealt = rows.withColumn("_group", F.pmod(F.xxhash64(*key), F.lit(groups)))
+    groups = F.array(*[F.lit(max(1, -(-int(n) // RANK_ROWS))) for n in counts])
+    dealt = rows.withColumn("_group", F.pmod(F.xxhash64(*key), F.get(groups, F.col("length").cast("int"))))
     sizes = dealt.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("length", "_group", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

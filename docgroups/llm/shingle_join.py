@@ -20,9 +20,11 @@ from docgroups.llm import chars
 from docgroups.llm.graph import components
 from docgroups.session import cut
 
+HEAD = 12  # smallest shingles that tell whether two sets are worth a comparison
 HOT_DOCUMENTS = 32  # a shingle in as many documents is ordered behind others
 HOT_TERMS = 100_000  # so many of them are known to every task; more only cost time
 BROADCAST_ROWS = 1_000_000
+LEADER_ROWS = 128  # sets that meet one copy of their leader
 LIST_ROWS = 256  # of an index list that probe it at a time
 CHUNK_BYTES = 2_000_000
 
@@ -69,9 +71,14 @@ def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
         first = end
 
 
+def shared_needed(n):
+    """So many shingles must two prefixes share if their sets are similar and the smaller has ``n``."""
+    return 1 + n // 40
+
+
 def prefix_size(n: int, num: int, den: int) -> int:
-    """So many of the first shingles hold one of every set that is similar enough."""
-    return n - -(-num * n // den) + 1
+    """So many of the first shingles hold ``shared_needed(n)`` of every set that is similar enough."""
+    return min(n, n - -(-num * n // den) + shared_needed(n))
 
 
 def least_overlap(a, b, num: int, den: int):
@@ -92,7 +99,7 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = [u[:2 * prefix_size(len(u), num, den)] for u in shingle_sets(batch.column("text").to_pylist(), words) if len(u)]
+            heads = [u[:3 * prefix_size(len(u), num, den) // 2] for u in shingle_sets(batch.column("text").to_pylist(), words) if len(u)]
             if heads:
                 token, n = np.unique(np.concatenate(heads), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
@@ -103,23 +110,25 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``(doc_id, n, hi, lo, anchors, prefix)``: size and key of each row's set, two of its minima, and its rarest shingles."""
+    """``(doc_id, n, hi, lo, anchor, head, prefix)``: size and key of each row's set, its minimum in another order, its smallest and its rarest shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = shared.value
         for batch in batches:
-            n, keys, anchors, prefixes = [], [], [], []
+            n, keys, anchors, heads, prefixes = [], [], [], [], []
             for u in shingle_sets(batch.column("text").to_pylist(), words):
                 n.append(len(u))
                 if not len(u):
                     keys.append((0, 0))
-                    anchors.append([])
+                    anchors.append(0)
+                    heads.append([])
                     prefixes.append([])
                     continue
                 keys.append(_key(u))
                 other = chars.mix(u.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
-                anchors.append([int(u[0]), int(other.min().view(np.int64))])
+                anchors.append(int(other.min().view(np.int64)))
+                heads.append(u[:HEAD])
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)
                     often = np.where(tokens[at] == u, counts[at], 0)
@@ -128,11 +137,11 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
             hi, lo = zip(*keys) if keys else ((), ())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                pa.array(anchors, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
-            ], ["doc_id", "n", "hi", "lo", "anchors", "prefix"])
+                pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
+            ], ["doc_id", "n", "hi", "lo", "anchor", "head", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, anchors array<long>, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, anchor long, head array<long>, prefix array<long>")
 
 
 def _if_small(df: DataFrame) -> DataFrame:
@@ -140,52 +149,70 @@ def _if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """``(node, items)`` for the given nodes, made anew from the text of the document that stands for each."""
-    wanted = cut(classes.select("node", "least", "hi", "lo").join(nodes, "node", "left_semi"))
+def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``(a, b, apart, linked)`` of distinct ``(a, b)``: shingles in one of the two sets only, and whether they are similar.
+
+    Sets are made anew from the text of the document that stands for each node, and move once: those of ``a`` to
+    the set of ``b``, which is copied for every LEADER_ROWS of them.
+    """
+    salts = pairs.groupBy("b").agg(F.ceil(F.count("*") / LEADER_ROWS).cast("int").alias("salts"))
+    salt = F.pmod(F.xxhash64("a"), F.col("salts")).cast("int")
+    members = pairs.join(salts, "b").select(F.col("a").alias("node"), F.struct("b", salt.alias("salt"), F.lit(1).alias("role")).alias("job"))
+    each = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    leaders = salts.select("b", each).select(F.col("b").alias("node"), F.struct("b", "salt", F.lit(0).alias("role")).alias("job"))
+    # A set with very many copies to make is made in several rows.
+    share = F.when(F.col("job.role") == 0, F.floor(F.col("job.salt") / 512)).otherwise(0)
+    jobs = members.unionByName(leaders).groupBy("node", share).agg(F.collect_list("job").alias("jobs")).select("node", "jobs")
+    wanted = cut(jobs.join(classes.select("node", "least", "hi", "lo"), "node"))
     rows = docs.select("doc_id", "text").join(_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("least")))
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, items = [], []
-            keys = zip(batch.column("node").to_pylist(), batch.column("hi").to_pylist(), batch.column("lo").to_pylist())
-            for (name, hi, lo), u in zip(keys, shingle_sets(batch.column("text").to_pylist(), words)):
-                if len(u) and _key(u) == (hi, lo):  # an id may have several rows
-                    node.append(name)
-                    items.append(u)
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
-
-    return cut(rows.select("node", "hi", "lo", "text").mapInArrow(make, "node long, items array<long>"))
-
-
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """``(a, b, apart, linked)`` of ``(a, b)``: shingles in one of the two sets only, and whether they are similar."""
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+            for at in range(0, len(batch), 200):
+                part = batch.slice(at, 200)
+                out: list[tuple] = []
+                found = shingle_sets(part.column("text").to_pylist(), words)
+                for node, hi, lo, meetings, u in zip(*(part.column(c).to_pylist() for c in ("node", "hi", "lo", "jobs")), found):
+                    if len(u) and _key(u) == (hi, lo):  # an id may have several rows
+                        out += [(m["b"], m["salt"], m["role"], node, u) for m in meetings]
+                if out:
+                    b, number, role, node, items = zip(*out)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(b), pa.array(number, pa.int32()), pa.array(role, pa.int32()), pa.array(node), pa.array(items, pa.list_(pa.int64()))],
+                        ["b", "salt", "role", "a", "items"],
+                    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y, leader = np.zeros(0, np.int64), None
         for batch in batches:
-            apart, linked = [], []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = x.values.to_numpy(), y.values.to_numpy()
+            a, b, apart, linked = [], [], [], []
+            for group, role, node, items in zip(batch.column("b").to_pylist(), batch.column("role").to_pylist(), batch.column("a").to_pylist(), batch.column("items")):
+                x = items.values.to_numpy()
+                if role == 0:
+                    y, leader = x, group
+                    continue
+                assert leader == group
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 common = int((y[at] == x).sum())
+                a.append(node)
+                b.append(group)
                 apart.append(len(x) + len(y) - 2 * common)
                 linked.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(compare, "a long, b long, apart int, linked boolean")
+    made = rows.select("node", "hi", "lo", "jobs", "text").mapInArrow(make, "b long, salt int, role int, a long, items array<long>")
+    dealt = made.repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
+    return dealt.mapInArrow(compare, "a long, b long, apart int, linked boolean")
 
 
 def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, cluster: np.ndarray, weight: np.ndarray, star: np.ndarray, num: int, den: int) -> tuple[list, list]:
-    """Pairs of a row and the star of another row of its index list that may be similar, from rows sorted by token.
+    """Row, star of another row of an index list that may be similar, and the row's size; from rows sorted by token.
 
     Rows of one cluster are joined already. Of two clusters the smaller one's rows probe. A list is sorted by
     size, and a block of probes reads only the part whose sizes can do; the places of a shared shingle bound
     what two sets can still have in common.
     """
-    xs, stars = [], []
+    xs, sizes = [], []
     cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
     low = np.minimum.reduceat(cluster, cuts[:-1])
     high = np.maximum.reduceat(cluster, cuts[:-1])
@@ -205,18 +232,24 @@ def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray,
             near = order[p][:, None] < order[other]
             smaller, larger = np.minimum(size[p][:, None], size[other]), np.maximum(size[p][:, None], size[other])
             near &= den * smaller >= num * larger
-            rest = 1 + np.minimum((size[p] - place[p])[:, None], size[other] - place[other]) - 1
+            # This shingle, those after it, and those before it in both.
+            rest = np.minimum((size[p] - place[p])[:, None], size[other] - place[other]) + np.minimum(place[p][:, None], place[other])
             near &= rest >= least_overlap(size[p][:, None], size[other], num, den)
             i, j = np.nonzero(near)
             if len(i):
-                found = np.unique(np.stack([node[rows][p[i]], star[rows][other[j]]]), axis=1)
-                xs.append(found[0])
-                stars.append(found[1])
-    return xs, stars
+                # A row meets a star once in a list, however many of the star's rows do.
+                found = np.unique(np.stack([node[rows][p[i]], star[rows][other[j]], size[p[i]]]), axis=1)
+                xs.append(found[:2])
+                sizes.append(found[2])
+    return xs, sizes
 
 
 def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct ``(a, star)`` of ``(node, n, prefix, cluster, weight, star)``: index lists, each met in the order of tokens."""
+    """Distinct ``(a, star)`` of ``(node, n, prefix, cluster, weight, star)`` that share enough shingles of their prefixes.
+
+    Index lists are read in the order of tokens. In how many of them a row meets some row of a star is no less than
+    what it shares with any one row of it.
+    """
     entries = classes.select("node", "n", "cluster", "weight", "star", F.posexplode("prefix").alias("pos", "token"))
     entries = entries.repartition("token").sortWithinPartitions("token")
 
@@ -233,10 +266,11 @@ def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
             end = len(token) if last else int(np.searchsorted(token, token[-1]))
             held, waiting, rows = [c[end:] for c in columns], [], 0
             if end:
-                xs, stars = _probe(*[c[:end] for c in columns], num, den)
+                xs, sizes = _probe(*[c[:end] for c in columns], num, den)
                 if xs:
-                    found = np.unique(np.stack([np.concatenate(xs), np.concatenate(stars)]), axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "star"])
+                    rows_of = np.concatenate([np.concatenate(xs, axis=1), np.concatenate(sizes)[None]])
+                    found, times = np.unique(rows_of, axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.array(times.astype(np.int64))], ["a", "star", "n", "times"])
 
         for batch in batches:
             waiting.append([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
@@ -246,7 +280,10 @@ def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
         if waiting or len(held[0]):
             yield from flush(True)
 
-    return entries.select("token", "node", "n", "pos", "cluster", "weight", "star").mapInArrow(run, "a long, star long").distinct()
+    met = entries.select("token", "node", "n", "pos", "cluster", "weight", "star").mapInArrow(run, "a long, star long, n long, times long")
+    counted = met.groupBy("a", "star", "n").agg(F.sum("times").alias("times"))
+    smaller = F.ceil(F.col("n") * num / den).cast("long")  # the least that a similar set can have
+    return counted.where(F.col("times") >= 1 + F.floor(smaller / 40)).select("a", "star")
 
 
 def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -259,21 +296,18 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     hot = hot_shingles(docs, words, num, den)
     signed = cut(signatures(docs, words, num, den, hot))
     full = signed.where("n > 0")
-    grouped = full.groupBy("hi", "lo").agg(
-        F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("anchors").alias("anchors"), F.first("prefix").alias("prefix")
-    )
+    grouped = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "anchor", "head", "prefix")])
     classes = cut(grouped.select(F.monotonically_increasing_id().alias("node"), "*"))
 
-    # Stars: sets that share a minimum meet the first of them.
-    anchored = classes.select("node", "n", F.posexplode("anchors").alias("which", "anchor"))
-    first = F.min(F.struct("node", "n")).alias("first")
+    # Stars: sets that share a minimum meet the first of them, if their smallest shingles are alike. What this misses is found below.
+    anchored = classes.select("node", "n", "head", F.posexplode(F.array(F.col("head")[0], F.col("anchor"))).alias("which", "anchor"))
+    first = F.min(F.struct("node", "n", "head")).alias("first")
     leaders = anchored.groupBy("which", "anchor").agg(first, F.count("*").alias("rows")).where("rows > 1").select("which", "anchor", "first")
     met = anchored.join(leaders, ["which", "anchor"]).where(F.col("node") != F.col("first.node"))
     fits = F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num
-    pairs = cut(met.where(fits).groupBy(F.col("node").alias("a"), F.col("first.node").alias("b")).agg(F.min("which").alias("which")))
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    sets = _sets(docs, classes, nodes, words)
-    checked = cut(_verify(pairs.select("a", "b"), sets, num, den))
+    alike = F.size(F.array_intersect("head", "first.head")) * 2 >= F.least(F.size("head"), F.size("first.head"))
+    pairs = cut(met.where(fits & alike).select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct())
+    checked = cut(_verify(docs, classes, pairs, words, num, den))
     links = checked.where("linked").select("a", "b")
 
     # Every set is in one star: a leader's own, or the nearest leader's that it is similar to.
@@ -283,16 +317,14 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     clusters = components(links)
     sizes = clusters.groupBy(F.col("component").alias("cluster")).agg(F.count("*").alias("weight"))
     placed = cut(clusters.select("node", F.col("component").alias("cluster")).join(sizes, "cluster").join(stars, "node", "left"))
-    known = classes.join(placed, "node", "left").select(
+    known = classes.join(_if_small(placed), "node", "left").select(
         "node", "n", "prefix", F.coalesce("cluster", "node").alias("cluster"), F.coalesce("weight", F.lit(1)).alias("weight"),
         F.coalesce("star", "node").alias("star"),
     )
 
     # A set against the leaders of stars of other clusters.
-    met = cut(_candidates(known, num, den))
-    nodes = met.select(F.col("a").alias("node")).union(met.select("star")).distinct()
-    sets = _sets(docs, classes, nodes, words)
-    against = cut(_verify(met.select("a", F.col("star").alias("b")), sets, num, den))
+    met = cut(_candidates(known, num, den).select("a", F.col("star").alias("b")))
+    against = cut(_verify(docs, classes, met, words, num, den))
     links = links.union(against.where("linked").select("a", "b"))
 
     # Members of a star whose leader is not similar: only those far enough from it can be.
@@ -304,9 +336,7 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     allowed = both - 2 * F.ceil(both * num / (num + den)).cast("long")
     rest = cut(far.where(F.col("apart") - F.col("out") <= allowed).select("a", F.col("y").alias("b")).distinct())
     if not rest.isEmpty():
-        nodes = rest.select(F.col("a").alias("node")).union(rest.select("b")).distinct()
-        sets = _sets(docs, classes, nodes, words)
-        links = links.union(_verify(rest, sets, num, den).where("linked").select("a", "b"))
+        links = links.union(_verify(docs, classes, rest, words, num, den).where("linked").select("a", "b"))
 
     named = classes.select("node", "hi", "lo", "least").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
