@@ -21,11 +21,11 @@ from docgroups.llm.graph import components
 from docgroups.session import cut
 
 HEAD = 12  # smallest shingles that tell whether two sets are worth a comparison
-HOT_DOCUMENTS = 32  # a shingle in as many documents is ordered behind others
-HOT_TERMS = 100_000  # so many of them are known to every task; more only cost time
+HOT_DOCUMENTS = 16  # a shingle in as many documents is ordered behind others
+HOT_TERMS = 200_000  # so many of them are known to every task; more only cost time
 BROADCAST_ROWS = 1_000_000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
-LIST_ROWS = 256  # of an index list that probe it at a time
+LIST_CELLS = 500_000  # of a block of probes by the rows of its list
 CHUNK_BYTES = 2_000_000
 
 _BLANK = np.zeros(256, dtype=bool)
@@ -99,7 +99,7 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = [u[:3 * prefix_size(len(u), num, den) // 2] for u in shingle_sets(batch.column("text").to_pylist(), words) if len(u)]
+            heads = [u[:3 * prefix_size(len(u), num, den)] for u in shingle_sets(batch.column("text").to_pylist(), words) if len(u)]
             if heads:
                 token, n = np.unique(np.concatenate(heads), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
@@ -224,8 +224,9 @@ def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray,
         order[rank] = np.cumsum(np.concatenate([[0], np.diff(cluster[rows][rank]) != 0]))
         probes = np.flatnonzero(order < order.max())
         size, place = n[rows], pos[rows]
-        for at in range(0, len(probes), LIST_ROWS):
-            p = probes[at:at + LIST_ROWS]
+        step = max(1, LIST_CELLS // len(rows))
+        for at in range(0, len(probes), step):
+            p = probes[at:at + step]
             a = np.searchsorted(size * den, num * size[p[0]])
             b = np.searchsorted(size * num, den * size[p[-1]], side="right")
             other = np.arange(a, b)
