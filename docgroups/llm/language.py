@@ -162,6 +162,9 @@ def _label(model: Model, texts: list[str | None], penalty: float) -> Iterator[tu
     """For runs of texts: labels, shares and spans ``(start, end, lang)``."""
     for first, end, points, offsets in chars.chunks(texts, 8 * chars.CHUNK):
         n, langs = end - first, len(model.langs)
+        if not langs:
+            yield [UNDETERMINED] * n, [0.0] * n, [[]] * n
+            continue
         starts, ends, scores = [], [], []
         cut = 0
         while cut < n:  # scores of a few texts at a time: their trigrams take more room than their words
@@ -174,9 +177,6 @@ def _label(model: Model, texts: list[str | None], penalty: float) -> Iterator[tu
             cut = stop
         starts, ends, scores = np.concatenate(starts), np.concatenate(ends), np.concatenate(scores)
         bounds = np.searchsorted(starts, offsets)
-        if not langs:
-            yield [UNDETERMINED] * n, [0.0] * n, [[]] * n
-            continue
         path = viterbi(scores, bounds, model.prior, penalty)
         doc = np.repeat(np.arange(n), np.diff(bounds))
         weight = np.bincount(doc * langs + path, weights=ends - starts, minlength=n * langs).reshape(n, langs)

@@ -193,7 +193,8 @@ class PieceBpe:
                 out.append(" ⁇ ")
         close()
         text = "".join(out).replace(BLANK, " ")
-        return text[1:] if text[:1] == " " and ids and (self.text_of[ids[0]] or "").startswith(BLANK) else text
+        first = next((i for i in ids if self.text_of[i] is not None or i in self.byte_of or i == self.unknown), None)
+        return text[1:] if first is not None and (self.text_of[first] or "").startswith(BLANK) else text
 
 
 def load(path: str) -> PieceBpe:

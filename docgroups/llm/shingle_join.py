@@ -110,17 +110,18 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
 
 
 def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``(doc_id, n, hi, lo, anchor, head, prefix)``: size and key of each row's set, its minimum in another order, its smallest and its rarest shingles."""
+    """``(doc_id, n, hi, lo, rare, anchor, head, prefix)``: size and key of each row's set, the share of shingles that few others hold, its minimum in another order, its smallest and its rarest shingles."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = shared.value
         for batch in batches:
-            n, keys, anchors, heads, prefixes = [], [], [], [], []
+            n, keys, rare, anchors, heads, prefixes = [], [], [], [], [], []
             for u in shingle_sets(batch.column("text").to_pylist(), words):
                 n.append(len(u))
                 if not len(u):
                     keys.append((0, 0))
+                    rare.append(0)
                     anchors.append(0)
                     heads.append([])
                     prefixes.append([])
@@ -129,19 +130,22 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
                 other = chars.mix(u.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
                 anchors.append(int(other.min().view(np.int64)))
                 heads.append(u[:HEAD])
+                counted = 3 * prefix_size(len(u), num, den)
+                rare.append(1000)
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)
                     often = np.where(tokens[at] == u, counts[at], 0)
+                    rare[-1] = int(1000 * (often[:counted] == 0).mean())
                     u = u[np.lexsort((u, often))]
                 prefixes.append(u[:prefix_size(len(u), num, den)])
             hi, lo = zip(*keys) if keys else ((), ())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
-            ], ["doc_id", "n", "hi", "lo", "anchor", "head", "prefix"])
+                pa.array(rare, pa.int32()), pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
+            ], ["doc_id", "n", "hi", "lo", "rare", "anchor", "head", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, anchor long, head array<long>, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare int, anchor long, head array<long>, prefix array<long>")
 
 
 def _if_small(df: DataFrame) -> DataFrame:
@@ -297,12 +301,14 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     hot = hot_shingles(docs, words, num, den)
     signed = cut(signatures(docs, words, num, den, hot))
     full = signed.where("n > 0")
-    grouped = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "anchor", "head", "prefix")])
+    grouped = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "rare", "anchor", "head", "prefix")])
     classes = cut(grouped.select(F.monotonically_increasing_id().alias("node"), "*"))
 
-    # Stars: sets that share a minimum meet the first of them, if their smallest shingles are alike. What this misses is found below.
-    anchored = classes.select("node", "n", "head", F.posexplode(F.array(F.col("head")[0], F.col("anchor"))).alias("which", "anchor"))
-    first = F.min(F.struct("node", "n", "head")).alias("first")
+    # Stars: sets that share a minimum meet the one of them with the most common shingles, if their smallest shingles
+    # are alike. Of copies that were changed here and there this is the least changed one, to which most are
+    # similar though not to each other. What this misses is found below.
+    anchored = classes.select("node", "n", "rare", "head", F.posexplode(F.array(F.col("head")[0], F.col("anchor"))).alias("which", "anchor"))
+    first = F.min(F.struct("rare", "node", "n", "head")).alias("first")
     leaders = anchored.groupBy("which", "anchor").agg(first, F.count("*").alias("rows")).where("rows > 1").select("which", "anchor", "first")
     met = anchored.join(leaders, ["which", "anchor"]).where(F.col("node") != F.col("first.node"))
     fits = F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num
