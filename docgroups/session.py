@@ -12,11 +12,11 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can read: ``spark.checkpoint.dir``, or a temporary one on local masters."""
+    """Folder every executor can read: ``spark.checkpoint.dir``, or a temporary one on a master without executors of its own."""
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="docgroups-")
         sc.setCheckpointDir(folder)
