@@ -24,6 +24,7 @@ HEAD = 12  # smallest shingles that tell whether two sets are worth a comparison
 HOT_DOCUMENTS = 16  # a shingle in as many documents is ordered behind others
 HOT_TERMS = 200_000  # so many of them are known to every task; more only cost time
 BROADCAST_ROWS = 1_000_000
+BATCH_ROWS = 1000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
 LIST_CELLS = 500_000  # of a block of probes by the rows of its list
 CHUNK_BYTES = 2_000_000
@@ -81,6 +82,11 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return min(n, n - -(-num * n // den) + shared_needed(n))
 
 
+def counted_size(n: int, num: int, den: int) -> int:
+    """How many of a set's smallest shingles are counted: those that a prefix can hold if a part of it is hot."""
+    return min(n, prefix_size(n, num, den) + n // 8)
+
+
 def least_overlap(a, b, num: int, den: int):
     """Fewest common shingles of similar sets of the sizes ``a`` and ``b``."""
     return -(-num * (a + b) // (num + den))
@@ -99,10 +105,12 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = [u[:3 * prefix_size(len(u), num, den)] for u in shingle_sets(batch.column("text").to_pylist(), words) if len(u)]
-            if heads:
-                token, n = np.unique(np.concatenate(heads), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
+            for at in range(0, len(batch), BATCH_ROWS):
+                texts = batch.slice(at, BATCH_ROWS).column("text").to_pylist()
+                heads = [u[:counted_size(len(u), num, den)].copy() for u in shingle_sets(texts, words) if len(u)]
+                if heads:
+                    token, n = np.unique(np.concatenate(heads), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= HOT_DOCUMENTS).orderBy(F.desc("n"), "token").limit(HOT_TERMS).toPandas().sort_values("token")
@@ -115,7 +123,7 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, counts = shared.value
-        for batch in batches:
+        for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, len(whole), BATCH_ROWS)):
             n, keys, rare, anchors, heads, prefixes = [], [], [], [], [], []
             for u in shingle_sets(batch.column("text").to_pylist(), words):
                 n.append(len(u))
@@ -130,7 +138,7 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
                 other = chars.mix(u.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
                 anchors.append(int(other.min().view(np.int64)))
                 heads.append(u[:HEAD])
-                counted = 3 * prefix_size(len(u), num, den)
+                counted = counted_size(len(u), num, den)
                 rare.append(1000)
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)

@@ -25,7 +25,7 @@ RIDGE = 0.3
 NEWTON_STEPS = 25
 STEM_LENGTHS = (4, 5, 6)
 N_STYLE = 6
-THRESHOLD = 0.3
+THRESHOLD = 0.4
 
 
 @dataclass

