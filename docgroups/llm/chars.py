@@ -28,7 +28,7 @@ SCRIPT_RANGES = {
     "han": [(0x2E80, 0x2FDF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 N_SCRIPTS = len(SCRIPT_RANGES) + 1
-CHUNK = 2_000_000
+CHUNK = 400_000
 
 
 def tables() -> dict[str, np.ndarray]:

@@ -160,7 +160,7 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, prior: np.ndarray, penalty:
 
 def _label(model: Model, texts: list[str | None], penalty: float) -> Iterator[tuple[list, list, list]]:
     """For runs of texts: labels, shares and spans ``(start, end, lang)``."""
-    for first, end, points, offsets in chars.chunks(texts, 3 * chars.CHUNK):
+    for first, end, points, offsets in chars.chunks(texts, 10 * chars.CHUNK):
         n, langs = end - first, len(model.langs)
         if not langs:
             yield [UNDETERMINED] * n, [0.0] * n, [[]] * n

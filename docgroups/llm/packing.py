@@ -78,7 +78,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """One for each Python worker, so what it has learned serves later tasks too."""
+    """One for each Python worker; what it has learned is dropped at the end of a task."""
     return once(f"encoder {path}", lambda: Encoder(path))
 
 
@@ -108,6 +108,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
                     part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array([len(x) // 4 for x in blobs], pa.int64()), pa.array(blobs, pa.binary()),
                 ], ["doc_id", "piece", "start", "length", "ids"])
+        encode_texts.known.clear()  # a worker's memory is for its next task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, piece int, start long, length long, ids binary")

@@ -20,7 +20,7 @@ from docgroups.llm.once import once
 BLANK = "▁"
 SEGMENT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 SPACED = re.compile(f"  |^ | $|{BLANK}")
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 CACHED_LENGTH = 48
 
 

@@ -27,7 +27,7 @@ BROADCAST_ROWS = 1_000_000
 BATCH_ROWS = 1000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
 LIST_CELLS = 500_000  # of a block of probes by the rows of its list
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
