@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
+from docgroups.llm.batches import bounded
 
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 3000
@@ -92,7 +93,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
             lang, slot = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(slot, pa.int32()), pa.array(total[lang, slot])], ["lang", "slot", "n"])
 
-    rows = sample.select("text", code[F.col("lang")].alias("code")).mapInArrow(count, "lang int, slot int, n long")
+    rows = bounded(sample.select("text", code[F.col("lang")].alias("code"))).mapInArrow(count, "lang int, slot int, n long")
     found = rows.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(langs), BUCKETS + chars.N_SCRIPTS))
     counts[found["lang"], found["slot"]] = found["n"]
@@ -225,7 +226,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) ->
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(label, f"doc_id {kind}, lang_pred string, score double, spans {SPANS}")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(label, f"doc_id {kind}, lang_pred string, score double, spans {SPANS}")
 
 
 def keep_identified(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> DataFrame:
@@ -237,4 +238,4 @@ def keep_identified(docs: DataFrame, model: Model, penalty: float = SWITCH_PENAL
             labels = [x for part in _label(shared.value, batch.column("text").to_pylist(), penalty) for x in part[0]]
             yield batch.filter(pa.array([x != UNDETERMINED for x in labels], pa.bool_()))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return bounded(docs).mapInArrow(sift, docs.schema)

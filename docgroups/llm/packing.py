@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docgroups.llm.batches import bounded
 from docgroups.llm.once import once
 from docgroups.session import cut
 
@@ -111,7 +112,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
         encode_texts.known.clear()  # a worker's memory is for its next task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(encode, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(encode, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def knapsack(values: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

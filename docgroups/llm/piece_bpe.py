@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docgroups.llm.batches import bounded
 from docgroups.llm.once import once
 
 BLANK = "▁"
@@ -214,7 +215,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.string())], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids string")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, ids string")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -253,4 +254,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

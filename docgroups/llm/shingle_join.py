@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
+from docgroups.llm.batches import bounded
 from docgroups.llm.graph import components
 from docgroups.session import cut
 
@@ -112,7 +113,7 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
                     token, n = np.unique(np.concatenate(heads), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = bounded(docs.select("text")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= HOT_DOCUMENTS).orderBy(F.desc("n"), "token").limit(HOT_TERMS).toPandas().sort_values("token")
     return top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
@@ -153,7 +154,7 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
             ], ["doc_id", "n", "hi", "lo", "rare", "anchor", "head", "prefix"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare int, anchor long, head array<long>, prefix array<long>")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare int, anchor long, head array<long>, prefix array<long>")
 
 
 def _if_small(df: DataFrame) -> DataFrame:
@@ -212,7 +213,7 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
                 linked.append(den * common >= num * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
 
-    made = rows.select("node", "hi", "lo", "jobs", "text").mapInArrow(make, "b long, salt int, role int, a long, items array<long>")
+    made = bounded(rows.select("node", "hi", "lo", "jobs", "text")).mapInArrow(make, "b long, salt int, role int, a long, items array<long>")
     dealt = made.repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
     return dealt.mapInArrow(compare, "a long, b long, apart int, linked boolean")
 

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from docgroups.llm.batches import bounded
 from docgroups.llm.packing import encoder
 
 RULES = ("first", "last", "most", "share")
@@ -93,4 +94,4 @@ def count_tokens(docs: DataFrame, path: str, rule: str = "first", sections: Call
         encode.known.clear()  # a worker's memory is for its next task
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, section int, start long, end long, n_tokens double")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, section int, start long, end long, n_tokens double")

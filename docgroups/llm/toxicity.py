@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
+from docgroups.llm.batches import bounded
 
 SAMPLE_ROWS = 12_000
 FOLDS = 5
@@ -156,7 +157,7 @@ def choose_terms(rows: DataFrame, n_categories: int, n_terms: int = TERMS) -> np
 
     shape = ", ".join(["term long", "n long", *[f"y{c} long" for c in range(n_categories)]])
     totals = rows.agg(F.count("*").alias("n"), *[F.sum(F.col("y")[c]).alias(f"y{c}") for c in range(n_categories)]).first()
-    counted = rows.mapInArrow(count, shape).groupBy("term").agg(F.sum("n").alias("n"), *[F.sum(f"y{c}").alias(f"y{c}") for c in range(n_categories)])
+    counted = bounded(rows).mapInArrow(count, shape).groupBy("term").agg(F.sum("n").alias("n"), *[F.sum(f"y{c}").alias(f"y{c}") for c in range(n_categories)])
     counted = counted.where(F.col("n") >= MIN_ROWS)
     best: set[int] = set()
     scores = []
@@ -197,7 +198,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
             )
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    rows_in = table.mapInArrow(known, f"doc_id {kind}, fold int, y array<int>, hits array<long>, style array<double>")
+    rows_in = bounded(table).mapInArrow(known, f"doc_id {kind}, fold int, y array<int>, hits array<long>, style array<double>")
     rows_in = rows_in.withColumn("earlier", F.array().cast("array<double>")).persist()
     weights = []
 
@@ -258,7 +259,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(p[:, i]) for i in range(len(names))]], ["doc_id", *names])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(score, ", ".join([f"doc_id {kind}", *[f"{x} double" for x in names]]))
+    return bounded(docs.select("doc_id", "text")).mapInArrow(score, ", ".join([f"doc_id {kind}", *[f"{x} double" for x in names]]))
 
 
 def drop_category(docs: DataFrame, model: Model, category: str, threshold: float = THRESHOLD) -> DataFrame:
@@ -270,4 +271,4 @@ def drop_category(docs: DataFrame, model: Model, category: str, threshold: float
             p = _score(shared.value, batch.column("text").to_pylist())[:, place]
             yield batch.filter(pa.array(p < threshold, pa.bool_()))
 
-    return docs.mapInArrow(sift, docs.schema)
+    return bounded(docs).mapInArrow(sift, docs.schema)
