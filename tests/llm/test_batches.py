@@ -1,3 +1,5 @@
+import pyarrow as pa
+
 from docgroups.llm import batches
 
 
@@ -8,7 +10,7 @@ def test_batches_are_bounded_by_bytes(spark):
     try:
         bounded = batches.bounded(rows)
         assert bounded is rows
-        sizes = bounded.mapInArrow(lambda parts: (p.select(["id"]).slice(0, 1).set_column(0, "id", [[p.num_rows]]) for p in parts), "id long").collect()
+        sizes = bounded.mapInArrow(lambda parts: (pa.RecordBatch.from_arrays([pa.array([p.num_rows])], ["id"]) for p in parts), "id long").collect()
         assert sum(r["id"] for r in sizes) == 40 and max(r["id"] for r in sizes) <= 9
         spark.conf.set(batches.BYTES, "1000000")
         batches.bounded(rows)
