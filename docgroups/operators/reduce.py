@@ -2,7 +2,8 @@
 
 The SVD is randomised subspace iteration (Halko, Martinsson and Tropp, 2011) on the term side. When
 the terms x sketch basis is below a bound, each pass is one scan that multiplies by the matrix and its
-transpose together. Beyond the bound the basis stays a table and a pass is two joins.
+transpose together. Beyond the bound the basis stays a table and a pass is two joins. The bound chooses the plan
+only: start, orthonormalisation, stopping rule and signs are the same, so results differ by rounding alone.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from docgroups.operators.tfidf import packed_rows, ranked_terms
 from docgroups.session import cut
 
 OVERSAMPLE = 10
-PASSES = 6
+PASSES = 6  # at least; more until the singular values settle
+MAX_PASSES = 20
+TOLERANCE = 1e-3
 BASIS_BYTES = 128 * 1024 * 1024
 DOCS_AT_ONCE = 64
 TERMS_AT_ONCE = 1024
@@ -134,24 +137,74 @@ def _whiten(gram: np.ndarray) -> np.ndarray:
     return vectors * scaled
 
 
-def _joined_basis(weights: DataFrame, vocabulary: DataFrame, width: int, seed: int) -> DataFrame:
-    """Subspace iteration with the basis as a table ``(term, vec)``: joins and sums only."""
+def _start(vocabulary: DataFrame, width: int, seed: int) -> DataFrame:
+    """``vocabulary`` with a first basis of signs by the hash of term and column."""
     signs = F.transform(
         F.sequence(F.lit(1), F.lit(width)),
         lambda i: F.when(F.xxhash64("term", i, F.lit(seed)) % 2 == 0, 1.0).otherwise(-1.0),
     )
-    basis = vocabulary.select("term", signs.alias("vec"))
-    for _ in range(PASSES):
+    return vocabulary.withColumn("vec", signs)
+
+
+class _Settled:
+    """Whether the leading singular values, read off the Gram matrix of each pass, have stopped to move."""
+
+    def __init__(self, n_components: int):
+        self.n, self.passes, self.before = n_components, 0, None
+
+    def __call__(self, gram: np.ndarray) -> bool:
+        # The pass multiplied by the squared matrix, and the Gram matrix squares once more.
+        now = np.sqrt(np.sqrt(np.maximum(np.linalg.eigvalsh(gram)[::-1][:self.n], 0.0)))
+        moved = np.inf if self.before is None else (np.abs(now - self.before) / max(now[0], 1e-300)).max()
+        self.passes, self.before = self.passes + 1, now
+        return self.passes >= PASSES and (moved <= TOLERANCE or self.passes >= MAX_PASSES)
+
+
+def _scanned_basis(packed: DataFrame, ranked: DataFrame, width: int, n_components: int, seed: int) -> np.ndarray:
+    """Subspace iteration with the basis on the driver and in every task, one scan a pass."""
+    first = _start(ranked, width, seed).select("term_id", "vec").toArrow()
+    basis = np.zeros((first.num_rows, width))
+    basis[first["term_id"].to_numpy()] = matrix(first["vec"])
+    settled, done = _Settled(n_components), False
+    while not done:
+        basis = _scan_terms(packed, basis)
+        gram = basis.T @ basis
+        done = settled(gram)
+        basis = basis @ _whiten(gram)
+        basis = basis @ _whiten(basis.T @ basis)
+    return basis
+
+
+def _joined_basis(weights: DataFrame, vocabulary: DataFrame, width: int, n_components: int, seed: int) -> DataFrame:
+    """Subspace iteration with the basis as a table ``(term, vec)``: joins and sums only."""
+    basis = _start(vocabulary.select("term"), width, seed)
+    settled, done = _Settled(n_components), False
+    while not done:
         rows = _joined_documents(weights, basis)
         sums = weights.join(rows, weights["doc_id"] == rows["id"]).groupBy("term").agg(
             weighted_vector_sum(F.col("vec"), F.col("tfidf")).alias("vec")
         )
         basis = cut(sums)
-        for _ in range(2):
-            basis = cut(_times(basis, "term", _whiten(_gram(basis, width))))
+        gram = _gram(basis, width)
+        done = settled(gram)
+        basis = cut(_times(basis, "term", _whiten(gram)))
+        basis = cut(_times(basis, "term", _whiten(_gram(basis, width))))
     return basis
 
 
+def _signs(rows: DataFrame, turn: np.ndarray) -> np.ndarray:
+    """Per component the sign that makes the sum of the cubed document scores positive: long tails point up."""
+    def cubes(batches):
+        total = np.zeros(turn.shape[1])
+        for batch in batches:
+            if batch.num_rows:
+                total += ((matrix(batch["vec"]) @ turn) ** 3).sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"c": lists(total.reshape(1, -1))})
+
+    parts = rows.select("vec").mapInArrow(cubes, "c array<double>")
+    return np.where(np.array(parts.agg(vector_sum(F.col("c"))).first()[0]) < 0, -1.0, 1.0)
+
+
 def _joined_documents(weights: DataFrame, basis: DataFrame) -> DataFrame:
     sums = weights.join(basis, "term").groupBy(F.col("doc_id").alias("id"))
     return sums.agg(weighted_vector_sum(F.col("vec"), F.col("tfidf")).alias("vec"))
@@ -175,18 +228,16 @@ def truncated_svd(
         raise ValueError(f"{n_components} components do not fit {n_docs} documents x {n_terms} terms")
     width = min(n_components + OVERSAMPLE, n_terms, n_docs)
     if 8 * n_terms * width <= basis_bytes:
-        packed = cut(packed_rows(weights, ranked_terms(vocabulary)))
-        basis = np.random.default_rng(seed).standard_normal((n_terms, width))
-        for _ in range(PASSES):
-            basis, _ = np.linalg.qr(_scan_terms(packed, basis))
-        rows = cut(_scan_documents(packed, basis))
+        ranked = cut(ranked_terms(vocabulary))
+        packed = cut(packed_rows(weights, ranked))
+        rows = cut(_scan_documents(packed, _scanned_basis(packed, ranked, width, n_components, seed)))
     else:
         weights = cut(weights.select("doc_id", "term", "tfidf"))
-        rows = cut(_joined_documents(weights, _joined_basis(weights, vocabulary, width, seed)))
+        rows = cut(_joined_documents(weights, _joined_basis(weights, vocabulary, width, n_components, seed)))
     values, vectors = np.linalg.eigh(_gram(rows, width))
     order = np.argsort(values)[::-1][:n_components]
     turn = vectors[:, order]
-    turn = turn * np.where(turn[np.abs(turn).argmax(axis=0), np.arange(len(order))] < 0, -1.0, 1.0)
+    turn = turn * _signs(rows, turn)
     reduced = _times(rows, "id", turn)
     zeros = F.array_repeat(F.lit(0.0), n_components)
     every = corpus.select(F.col("doc_id").alias("id")).join(reduced, "id", "left")

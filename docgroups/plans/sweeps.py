@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from docgroups.operators.kmeans import fit_sweep, label_sweep
 from docgroups.operators.kselect import best_k_by_silhouette
 from docgroups.operators.linkage import average_merges, cut_merges
-from docgroups.operators.reduce import allowed_sizes, first_components
+from docgroups.operators.reduce import first_components
 from docgroups.operators.scores import score_groups
 from docgroups.operators.silhouette import mean_silhouettes
 from docgroups.session import cut
 
 SIZE = "n_components"
+# The sizes that are compared.
+COMPONENT_SIZES = (2, 5, 10, 20, 50, 100, 200, 300)
 
 
 def width_of(vectors: DataFrame) -> int:
@@ -94,19 +96,22 @@ def scored_sweep(
 
 
 def component_sweep(
-    vectors: DataFrame, n_columns: int, sizes=(2, 5, 10, 20, 50, 100, 200, 300), ks=range(2, 31),
-    seed: int = 42, method: str = "euclidean",
+    vectors: DataFrame, sizes=COMPONENT_SIZES, ks=range(2, 31), seed: int = 42, method: str = "euclidean",
 ) -> DataFrame:
-    """Best k and silhouette of both algorithms per size. ``vectors`` hold the largest size; sizes the
-    data cannot give are left out."""
-    sizes = [s for s in allowed_sizes(sizes, vectors.count(), n_columns) if s <= width_of(vectors)]
-    out = None
+    """Best k and silhouette of both algorithms per size; NULL where no k has a silhouette.
+
+    ``vectors`` hold the largest size. ``reduced_corpus`` and ``allowed_sizes`` tell which sizes a corpus can
+    give; one beyond the vectors is an error.
+    """
+    sizes, width = sorted(set(sizes)), width_of(vectors)
+    if not sizes or sizes[-1] > width:
+        raise ValueError(f"sizes {sizes} do not fit vectors of {width} entries")
+    out = vectors.sparkSession.createDataFrame([(s,) for s in sizes], f"{SIZE} int")
     for name, sweep in (
         ("kmeans", kmeans_sweep(vectors, list(ks), sizes, seed, method)[0]),
         ("agglomerative", agglomerative_sweep(vectors, list(ks), sizes)[0]),
     ):
         best = best_k_by_silhouette(sweep, (SIZE,)).withColumnRenamed("k", f"{name}_best_k")
         top = sweep.groupBy(SIZE).agg(F.max("silhouette").alias(f"{name}_best_silhouette"))
-        both = best.join(top, SIZE)
-        out = both if out is None else out.join(both, SIZE)
+        out = out.join(best, SIZE, "left").join(top, SIZE, "left")
     return out

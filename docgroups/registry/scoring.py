@@ -71,16 +71,6 @@ results AS (SELECT CASE WHEN n_components <= 16 THEN 'short' ELSE 'long' END AS
   CASE WHEN rule = 'ceiling' THEN 'labels' ELSE 'kmeans' END AS algorithm, n_components, rule AS k_method, k,
   nmi, ari, ami, silhouette FROM chosen JOIN sweep USING (n_components, k))"""
 
-_MEMO: dict = {}
-
-
-def _once(spark, d, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _MEMO:
-        _MEMO[key] = cut(build())
-    return _MEMO[key]
-
-
 def _build_sweep(spark, d) -> DataFrame:
     """One Lloyd step from coarser and coarser classes, at several prefix sizes of the vectors."""
     rows = cut(embeddings(spark, d))
@@ -110,7 +100,7 @@ def _build_sweep(spark, d) -> DataFrame:
 
 
 def sweep_table(spark, d) -> DataFrame:
-    return _once(spark, d, "sweep", lambda: _build_sweep(spark, d))
+    return cut(_build_sweep(spark, d))
 
 
 def results_table(spark, d) -> DataFrame:

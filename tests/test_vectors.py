@@ -110,13 +110,13 @@ def test_pca(vectors, x):
     assert share == pytest.approx((s ** 2 / (s ** 2).sum())[:3])
 
 
-@pytest.mark.parametrize("basis_bytes", [1 << 27, 0])
-def test_truncated_svd(spark, basis_bytes):
+def test_truncated_svd(spark):
     rng = np.random.default_rng(5)
     words = [" ".join(f"w{j:02d}" for j in rng.integers(0, 12, size=9) + 12 * (i % 3)) for i in range(60)] + ["zz"]
     corpus = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
     weights, vocabulary = tfidf.build_tfidf(corpus, min_df=2, max_df=1.0)
-    vectors, values = reduce.truncated_svd(weights, vocabulary, corpus, 3, basis_bytes=basis_bytes)
+    vectors, values = reduce.truncated_svd(weights, vocabulary, corpus, 3)
+    joined, joined_values = reduce.truncated_svd(weights, vocabulary, corpus, 3, basis_bytes=0)
     cells, terms = weights.collect(), sorted(r["term"] for r in vocabulary.collect())
     a = np.zeros((61, len(terms)))
     for r in cells:
@@ -125,6 +125,10 @@ def test_truncated_svd(spark, basis_bytes):
     assert values == pytest.approx(s[:3], rel=1e-3)
     got = np.array([r["vec"] for r in vectors.orderBy("id").collect()])
     assert got.shape == (61, 3) and (got[60] == 0).all()
+    # The bound chooses the plan only: signs included, both give the same numbers.
+    assert joined_values == pytest.approx(values, abs=1e-6)
+    assert np.array([r["vec"] for r in joined.orderBy("id").collect()]) == pytest.approx(got, abs=1e-6)
+    assert ((got ** 3).sum(0) > 0).all()
     want = u[:, :3] * s[:3]
     assert got @ got.T == pytest.approx(want @ want.T, abs=2e-2)
 
