@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docgroups.operators import geometry, kmeans, reduce, silhouette, tfidf
+from docgroups.plans import sweeps
 
 N, D = 80, 6
 
@@ -152,3 +153,12 @@ def test_kmeans(vectors, x):
     for g, k in enumerate((2, 4, 6)):
         d2 = ((prefix[:, None] - fits[(3, k)][0][None]) ** 2).sum(-1)
         assert [r["labels"][g] for r in grouped] == d2.argmin(1).tolist()
+
+
+def test_component_sweep_keeps_every_size(spark):
+    # Equal rows have no silhouette at any k, but the sizes stay.
+    rows = spark.createDataFrame([(i, [1.0, 0.0, 0.0]) for i in range(6)], "id long, vec array<double>")
+    found = sweeps.component_sweep(rows, (2, 3), [2], method="squared").orderBy("n_components").collect()
+    assert [r["n_components"] for r in found] == [2, 3]
+    with pytest.raises(ValueError):
+        sweeps.component_sweep(rows, (2, 4), [2])
