@@ -8,9 +8,10 @@ nothing leads to the end are marked in a bit field and never tried again.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,11 +21,24 @@ from docgroups.llm.once import once
 
 BLANK = "▁"
 SEGMENT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
-SPACED = re.compile(f"  |^ | $|{BLANK}")
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 500_000
 CACHED_LENGTH = 48
 
 
+class Known(dict):
+    """What ``make`` gives for a text, kept if the text is short."""
+
+    def __init__(self, make: Callable[[str], str]):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str) -> str:
+        found = self.make(text)
+        if len(text) <= CACHED_LENGTH:
+            self[text] = found
+        return found
+
+
 class PieceBpe:
     """A model file of type BPE with byte fallback, blanks escaped, a blank put before the text, and no normalisation."""
 
@@ -55,7 +69,16 @@ class PieceBpe:
             raise ValueError("a piece holds a blank after another character: texts can't be cut at blanks")
         self.shorter: dict[str, str | None] = {}
         self.fits: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[int, str]] = {}
+        # Two characters that stand together in no piece are never merged: texts may be cut between them.
+        self.adjacent = {x[i:i + 2] for x in self.id for i in range(len(x) - 1)}
+        self.words = Known(lambda word: self.segment(BLANK + word))
+        self.parts = Known(lambda part: ",".join(map(str, self.ids(self.backtrack(part)))))
+        codecs.register_error("each_byte", lambda e: ("\ufffd", e.start + 1))
+        shown = [(x or "").replace(BLANK, " ") for x in self.text_of]
+        shown[self.unknown] = " ⁇ "
+        for i, b in self.byte_of.items():
+            shown[i] = bytes([b]).decode(errors="surrogateescape")
+        self.shown = {str(i): x for i, x in enumerate(shown)}
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the pair with the best score, the leftmost of equals, until none is a piece."""
@@ -135,67 +158,43 @@ class PieceBpe:
                 out.append(self.unknown)
         return out
 
-    def segment(self, text: str) -> tuple[int, str]:
-        """Number of ids, and the ids in decimal with commas, of what lies between two places where a blank begins."""
-        found = self.known.get(text)
-        if found is None:
-            ids = self.ids(self.backtrack(text))
-            found = (len(ids), ",".join(map(str, ids)))
-            if len(text) <= CACHED_LENGTH:
-                self.known[text] = found
-        return found
+    def segment(self, text: str) -> str:
+        """The ids in decimal, with commas between, of what lies between two places where a blank begins."""
+        cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in self.adjacent]
+        return ",".join([self.parts[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)])])
 
     def encode(self, text: str) -> tuple[int, str]:
         """Number of ids and the ids of a whole text in decimal, with commas between."""
         if not text:
             return 0, ""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        if SPACED.search(text):
-            cuts = SEGMENT.findall(BLANK + text.replace(" ", BLANK))
+        for cache in (self.words, self.parts):
+            if len(cache) > CACHE_ENTRIES:
+                cache.clear()
+        if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            ids = ",".join(map(self.segment, SEGMENT.findall(BLANK + text.replace(" ", BLANK))))
         else:
-            cuts = (BLANK + text.replace(" ", f" {BLANK}")).split(" ")
-        known = self.known
-        for cut in set(cuts).difference(known):
-            if len(cut) <= CACHED_LENGTH:
-                self.segment(cut)
-        found = [known[x] if x in known else self.segment(x) for x in cuts]
-        return sum([n for n, _ in found]), ",".join([ids for _, ids in found])
+            ids = ",".join(map(self.words.__getitem__, text.split(" ")))
+        return ids.count(",") + 1, ids
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids: bytes in a row are read as UTF-8, blanks restored, and the one before the text taken off.
 
         Bytes that are no UTF-8 give U+FFFD each; control pieces give nothing, the unknown piece its sign.
         """
-        out: list[str] = []
-        raw = bytearray()
-
-        def close() -> None:
-            while raw:
-                for size in range(1, 5):
-                    try:
-                        out.append(raw[:size].decode())
-                        del raw[:size]
-                        break
-                    except UnicodeDecodeError:
-                        continue
-                else:
-                    out.append("�")
-                    del raw[0]
-
-        for i in ids:
-            if i in self.byte_of:
-                raw.append(self.byte_of[i])
-                continue
-            close()
-            if self.text_of[i] is not None:
-                out.append(self.text_of[i])
-            elif i == self.unknown:
-                out.append(" ⁇ ")
-        close()
-        text = "".join(out).replace(BLANK, " ")
-        first = next((i for i in ids if self.text_of[i] is not None or i in self.byte_of or i == self.unknown), None)
-        return text[1:] if first is not None and (self.text_of[first] or "").startswith(BLANK) else text
+        return self.read(",".join(map(str, ids)))
+
+    def read(self, ids: str) -> str:
+        """Text of ids in decimal with commas between."""
+        if not ids:
+            return ""
+        numbers = ids.split(",")
+        text = "".join(map(self.shown.__getitem__, numbers))
+        if text.startswith(" "):
+            first = int(next(i for i in numbers if self.shown[i]))
+            if (self.text_of[first] or "").startswith(BLANK):
+                text = text[1:]
+        # Bytes of 128 and more stand for themselves as lone surrogates until here.
+        return text.encode(errors="surrogateescape").decode(errors="each_byte")
 
 
 def load(path: str) -> PieceBpe:
@@ -226,7 +225,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.slice(at, 500)
-                texts = [model.decode([int(i) for i in x.split(",")] if x else []) for x in part.column("ids").to_pylist()]
+                texts = [model.read(x or "") for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -244,7 +243,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
                 counts, ids_sha, text_sha = [], [], []
                 for text in part.column("text").to_pylist():
                     n, ids = model.encode(text or "")
-                    decoded = model.decode(list(map(int, ids.split(","))) if ids else [])
+                    decoded = model.read(ids)
                     counts.append(n)
                     ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                     text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
