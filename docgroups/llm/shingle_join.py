@@ -29,6 +29,7 @@ BATCH_ROWS = 1000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
 LIST_CELLS = 500_000  # of a block of probes by the rows of its list
 CHUNK_BYTES = 500_000
+SENT_ITEMS = 500_000  # shingles that a task sends on at once
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -179,21 +180,31 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
     wanted = cut(jobs.join(classes.select("node", "least", "hi", "lo"), "node"))
     rows = docs.select("doc_id", "text").join(_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("least")))
 
+    def sent(out: list[tuple]) -> pa.RecordBatch:
+        b, number, role, node, items = zip(*out)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(b), pa.array(number, pa.int32()), pa.array(role, pa.int32()), pa.array(node), pa.array(items, pa.list_(pa.int64()))],
+            ["b", "salt", "role", "a", "items"],
+        )
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        size = 0
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.slice(at, 200)
-                out: list[tuple] = []
                 found = shingle_sets(part.column("text").to_pylist(), words)
                 for node, hi, lo, meetings, u in zip(*(part.column(c).to_pylist() for c in ("node", "hi", "lo", "jobs")), found):
-                    if len(u) and _key(u) == (hi, lo):  # an id may have several rows
-                        out += [(m["b"], m["salt"], m["role"], node, u) for m in meetings]
-                if out:
-                    b, number, role, node, items = zip(*out)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(b), pa.array(number, pa.int32()), pa.array(role, pa.int32()), pa.array(node), pa.array(items, pa.list_(pa.int64()))],
-                        ["b", "salt", "role", "a", "items"],
-                    )
+                    if not len(u) or _key(u) != (hi, lo):  # an id may have several rows
+                        continue
+                    for m in meetings:
+                        out.append((m["b"], m["salt"], m["role"], node, u))
+                        size += len(u)
+                        if size >= SENT_ITEMS:
+                            yield sent(out)
+                            out, size = [], 0
+        if out:
+            yield sent(out)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y, leader = np.zeros(0, np.int64), None
