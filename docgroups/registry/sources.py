@@ -32,12 +32,10 @@ def posts(spark, d):
     path = scratch_path(spark, "posts")
     rows = table(spark, d, "documents").select("text", "lang", "doc_id")
     rows.write.partitionBy("lang", "doc_id").text(path)
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    group = F.regexp_extract("_metadata.file_path", r"lang=([^/]*)/", 1)
-    rows = files.select(F.regexp_extract("_metadata.file_path", r"doc_id=([0-9]+)/", 1).cast("long").alias("doc_id"),
-                        F.regexp_replace("value", r"\n$", "").alias("text"), group.alias("label_name"))
-    coded = labels.encode_labels(rows, "label_name")
-    return coded.select("doc_id", "label", "label_name", F.md5("text").alias("text_hash"))
+    read = corpus.read_posts(spark, path, clean=False, depth=2)
+    doc_id = F.regexp_extract("file", r"doc_id=([0-9]+)/", 1).cast("long")
+    text_hash = F.md5(F.regexp_replace("text", r"\n$", ""))  # the writer ends a text with a line feed
+    return read.select(doc_id.alias("doc_id"), "label", "label_name", text_hash.alias("text_hash"))
 
 
 def _as_post(text_col, name):

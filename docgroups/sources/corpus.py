@@ -39,17 +39,22 @@ def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
     return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name")
 
 
-def read_posts(spark: SparkSession, path: str, clean: bool = True) -> DataFrame:
-    """One post per file, the folder name being its group: ``path/<group>/<post>``."""
+def read_posts(spark: SparkSession, path: str, clean: bool = True, depth: int = 1) -> DataFrame:
+    """One post per file, the folder name being its group: ``path/<group>/<post>``.
+
+    The group is the folder ``depth`` levels above the file; of a folder ``name=value`` it is the value. ``file`` is the
+    whole path, which no two posts share.
+    """
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
     text = known_text(F.col("value"))
     rows = files.select(
         F.xxhash64("_metadata.file_path").alias("doc_id"),
         (clean_post(text) if clean else text).alias("text"),
-        F.element_at(parts, -2).alias("label_name"),
+        F.regexp_replace(F.element_at(parts, -1 - depth), "^[^=]*=", "").alias("label_name"),
+        F.col("_metadata.file_path").alias("file"),
     )
-    return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name")
+    return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name", "file")
 
 
 def read_table(spark: SparkSession, folder: str, name: str = "documents", labelled: bool = True) -> DataFrame:

@@ -27,6 +27,15 @@ def test_posts(spark, tmp_path):
         (tmp_path / group / name).write_text(text)
     rows = corpus.read_posts(spark, str(tmp_path)).collect()
     assert {(r["label"], r["label_name"], r["text"]) for r in rows} == {(1, "sci", "body"), (0, "rec", "play")}
+    assert sorted(r["file"].split("/")[-2:] for r in rows) == [["rec", "1"], ["sci", "1"]]
+
+
+def test_posts_in_folders_below_their_group(spark, tmp_path):
+    folder = tmp_path / "lang=en" / "doc_id=7"
+    folder.mkdir(parents=True)
+    (folder / "part-0").write_text("a=b")
+    rows = corpus.read_posts(spark, str(tmp_path), clean=False, depth=2).collect()
+    assert [(r["label_name"], r["text"]) for r in rows] == [("en", "a=b")]
 
 
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
