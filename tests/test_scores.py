@@ -104,3 +104,12 @@ def test_codes(spark):
     rows = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "label_name string")
     coded = labels.encode_labels(rows, "label_name").collect()
     assert {(r["label_name"], r["label"]) for r in coded} == {("a", 0), ("b", 1), (None, -1)}
+
+
+def test_best_row_of_every_variant_and_size(spark):
+    from docgroups.plans.jobs import best_per_variant
+
+    rows = [("a", 5, 2, 0.1), ("a", 5, 3, 0.4), ("a", 5, 4, 0.4), ("a", 9, 2, 0.2), ("b", 5, 7, 0.0)]
+    table = spark.createDataFrame(rows, "variant string, n_components int, k int, nmi double")
+    got = best_per_variant(table).select("variant", "n_components", "k", "nmi").collect()
+    assert sorted(map(tuple, got)) == [("a", 5, 3, 0.4), ("a", 9, 2, 0.2), ("b", 5, 7, 0.0)]
