@@ -1,8 +1,8 @@
 """Packing of token sequences into as few bins as it can.
 
 The bins are planned on the histogram of lengths alone: a configuration linear program, solved by
-multiplicative weights with a knapsack for pricing, then rounded. The histogram has as many entries as a bin
-has tokens, whatever the corpus. Pieces then take their places by their rank among pieces of the same length.
+multiplicative weights with a knapsack for pricing until its cover is within ``GAP`` of the dual bound or the
+rounds end, then rounded. The histogram has as many entries as a bin has tokens, whatever the corpus. Pieces then take their places by their rank among pieces of the same length.
 """
 
 from __future__ import annotations
@@ -22,6 +22,11 @@ from docgroups.llm.once import once
 from docgroups.session import cut
 
 CAPACITY = 1024
+GAP = 0.005
+ROUNDS = 800
+FIRST_CHECK = 50
+STEP = 0.6
+SLACK = 0.01
 COLUMNS = 8
 LONG_BONUS = 0.05
 WEIGHT_SHARE = 0.01
@@ -136,21 +141,20 @@ def configuration(choice: np.ndarray, first: int, capacity: int) -> Counter:
     return content
 
 
-def configuration_lp(counts: np.ndarray, capacity: int) -> dict[tuple, float]:
-    """Bins by configuration, fractions allowed, that cover ``counts[l]`` pieces of each length l.
+def fill(need: np.ndarray, capacity: int) -> Counter:
+    """Bins by configuration, fractions allowed, that cover ``need``: a greedy fill, for what a program leaves open.
 
-    Multiplicative weights over the covering rows. A round prices every open length: its share of a bin,
-    more for long ones, which are hard to place, times a weight that falls as the length gets covered. One
-    knapsack then gives the best configuration around each of the longest open lengths, and each is used until a row
-    of it is covered. So every round closes a row, and there are at most ``capacity`` of them.
+    A round prices every open length by its share of a bin, a little more for long ones, which are hard to place.
+    One knapsack then gives the best configuration around each of the longest open lengths, and each is used until a
+    row of it is covered. So every round closes a row, and there are at most ``capacity`` of them.
     """
-    need, share = counts.astype(float), np.arange(capacity + 1) / capacity
+    need, share = need.astype(float), np.arange(capacity + 1) / capacity
     covered, log_weight = np.zeros(capacity + 1), np.zeros(capacity + 1)
     picked: Counter = Counter()
     while True:
         live = np.flatnonzero(covered < need - 1e-9)
         if not len(live):
-            return dict(picked)
+            return picked
         weight = np.exp(log_weight[live] - log_weight[live].max())
         price = np.zeros(capacity + 1)
         price[live] = share[live] * (1 + LONG_BONUS * share[live] + WEIGHT_SHARE * weight)
@@ -166,18 +170,70 @@ def configuration_lp(counts: np.ndarray, capacity: int) -> dict[tuple, float]:
             picked[tuple(sorted(content.items(), reverse=True))] += times
 
 
-def plan(counts: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
-    """``(lengths in a bin, how many such bins)`` that hold exactly ``counts[l]`` pieces of each length.
+def configuration_lp(counts: np.ndarray, capacity: int) -> tuple[Counter, float]:
+    """Bins by configuration, fractions allowed, that cover ``counts[l]`` pieces of each length l, and a lower bound of any such cover.
 
-    Full pieces are bins of their own. The program's configurations are taken in whole numbers, rounded down
-    and never beyond the pieces left; best-fit decreasing packs what the rounding leaves.
+    Multiplicative weights over the covering rows. A length is priced by its share of a bin times its weight. A
+    knapsack over all lengths gives the best configuration; it and those around any other length that come within
+    ``SLACK`` of its value are used until no row grows by more than its whole need, and a row's weight falls by what
+    it grew, in steps that shrink with the rounds. Prices divided by the value of the best configuration are a
+    solution of the dual program, so they bound every cover from below; the mean of the prices does so as well.
+
+    At rounds 50, 100, 200 and so on the configurations since the last such round are averaged, scaled to the bound,
+    and filled up where they fall short. The rounds end when the best cover is within ``GAP`` of the bound, or after ``ROUNDS``.
     """
-    left = counts.astype(np.int64).copy()
-    full, left[capacity] = int(left[capacity]), 0
-    bins = [(Counter({capacity: 1}), full)] if full else []
-    program = configuration_lp(left, capacity)
+    need, share = counts.astype(float), np.arange(capacity + 1) / capacity
+    live = np.flatnonzero(counts)
+    if not len(live):
+        return Counter(), 0.0
+    cover, bound = fill(need, capacity), 0.0
+    log_weight, prices, used, check = np.zeros(capacity + 1), np.zeros(capacity + 1), Counter(), FIRST_CHECK
+    for step in range(1, ROUNDS + 1):
+        price = np.zeros(capacity + 1)
+        price[live] = share[live] * np.exp(log_weight[live] - log_weight[live].max())
+        best, choice = knapsack(price, capacity)
+        price, best = price / best[capacity], best / best[capacity]
+        prices += price
+        bound = max(bound, float(need @ price))
+        grown = np.zeros(capacity + 1)
+        firsts = live[price[live] + best[capacity - live] >= 1 - SLACK]
+        for first in firsts[np.argsort(-log_weight[firsts], kind="stable")].tolist():
+            if grown[first] >= 1:
+                continue
+            content = configuration(choice, first, capacity)
+            times = min((1 - grown[length]) * need[length] / n for length, n in content.items())
+            if times <= 0:
+                continue
+            for length, n in content.items():
+                grown[length] += n * times / need[length]
+            used[tuple(sorted(content.items(), reverse=True))] += times
+        log_weight -= STEP / np.sqrt(step) * grown
+        if step < check and step < ROUNDS:
+            continue
+        bound = max(bound, float(need @ prices) / knapsack(prices, capacity)[0][capacity])
+        scale = bound / used.total()
+        found, open_need = Counter({config: times * scale for config, times in used.items()}), need.copy()
+        for config, times in found.items():
+            for length, n in config:
+                open_need[length] -= n * times
+        found.update(fill(np.maximum(open_need, 0), capacity))
+        cover = min(cover, found, key=Counter.total)
+        if cover.total() <= bound * (1 + GAP):
+            break
+        prices, used, check = np.zeros(capacity + 1), Counter(), 2 * check
+    return cover, bound
+
+
+def rounded(program: Counter, counts: np.ndarray, capacity: int, carried: bool) -> list[tuple[Counter, int]]:
+    """The program in whole bins, never beyond the pieces left; best-fit decreasing packs the rest.
+
+    What rounding down cuts from a configuration is ``carried`` to the next one, up to a bin, or left to the rest.
+    """
+    left, bins, carry = counts.astype(np.int64).copy(), [], 0.0
     for config, times in sorted(program.items(), key=lambda x: (-x[0][0][0], -sum(a * b for a, b in x[0]), x[0])):
+        times += carry
         n = min([int(times + 1e-9), *(int(left[length]) // k for length, k in config)])
+        carry = min(times - n, 1.0) if carried else 0.0
         if n > 0:
             bins.append((Counter(dict(config)), n))
             for length, k in config:
@@ -185,6 +241,20 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
     return bins + best_fit(left, capacity)
 
 
+def plan(counts: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
+    """``(lengths in a bin, how many such bins)`` that hold exactly ``counts[l]`` pieces of each length.
+
+    Full pieces are bins of their own. The program is rounded in two ways, and the plan with the fewest bins is
+    taken, best-fit decreasing alone if it needs no more.
+    """
+    left = counts.astype(np.int64).copy()
+    full, left[capacity] = int(left[capacity]), 0
+    bins = [(Counter({capacity: 1}), full)] if full else []
+    program, _ = configuration_lp(left, capacity)
+    plans = [best_fit(left, capacity), *(rounded(program, left, capacity, carried) for carried in (False, True))]
+    return bins + min(plans, key=lambda x: sum(n for _, n in x))
+
+
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
     """Best-fit decreasing on counts: bins of equal content are one entry.
 

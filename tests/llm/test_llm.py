@@ -146,6 +146,24 @@ def test_plan_holds_every_piece_once(seed):
     assert least <= used <= plain + 2
 
 
+@pytest.mark.parametrize("name", ["four lengths", "three in a bin"])
+def test_plan_is_near_the_bound_of_the_program(name):
+    if name == "four lengths":
+        capacity, counts = 1024, np.zeros(1025, int)
+        counts[[500, 480, 474, 320]] = 1000
+    else:
+        capacity, counts = 256, np.bincount(np.random.default_rng(1).integers(50, 130, 5000), minlength=257)
+    cover, bound = packing.configuration_lp(counts, capacity)
+    held = np.zeros(capacity + 1)
+    for config, times in cover.items():
+        assert sum(length * k for length, k in config) <= capacity
+        for length, k in config:
+            held[length] += k * times
+    assert (held >= counts - 1e-6).all()
+    assert (np.arange(capacity + 1) * counts).sum() / capacity - 1e-6 <= bound <= cover.total() <= bound * (1 + packing.GAP)
+    assert bound <= sum(n for _, n in packing.plan(counts, capacity)) <= bound * 1.01 + 1
+
+
 def test_sequences_have_no_gap(spark, documents, odd):
     for docs in (documents, odd):
         rows = packing.packed_documents(docs, BYTE_BPE).toPandas()
