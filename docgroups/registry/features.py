@@ -128,7 +128,7 @@ def word2vec(spark, d):
 
 
 def fasttext(spark, d):
-    docs, _ = wordvec.build_fasttext(texts(spark, d), vector_size=32, epochs=1)
+    docs, _ = wordvec.build_fasttext(texts(spark, d))
     return docs.select("id", F.size("vec").alias("width"), r6(F.array_max("vec")).alias("largest"))
 
 

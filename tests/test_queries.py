@@ -1,3 +1,5 @@
+from unittest.mock import MagicMock
+
 import pytest
 from compare import compare, database
 
@@ -27,3 +29,33 @@ def test_flagship(spark):
         ("kmeans", "silhouette"), ("kmeans", "elbow"), ("agglomerative", "silhouette"),
     }
     assert max(r["nmi"] for r in rows) > 0.8
+
+
+@pytest.mark.parametrize("name, operator", [
+    ("r1_evaluate_documents", "jobs.evaluate"), ("r2_evaluate_all", "jobs.evaluate_all"), ("r2_best_of_all", "jobs.evaluate_all"),
+    ("r3_scores_by_size", "jobs.scores_by_size"), ("r4_compare_variants", "jobs.compare_variants"),
+    ("r4_best_per_variant", "jobs.compare_variants"), ("r5_label_free_choice", "jobs.label_free_choice"),
+    ("f13_subword_vectors", "wordvec.build_fasttext"), ("h6_min_cluster_size_sweep", "density.sweep_min_cluster_size"),
+])
+def test_query_runs_the_whole_grid(monkeypatch, name, operator):
+    from docgroups.operators import density, wordvec
+    from docgroups.plans import jobs
+    from docgroups.registry import features, groups
+    from docgroups.registry import jobs as registered
+
+    for module in (features, groups, registered):
+        for reader in ("documents", "texts", "embeddings", "read_table"):
+            monkeypatch.setattr(module, reader, MagicMock(), raising=False)
+    monkeypatch.setattr(jobs, "best_per_variant", MagicMock())
+    module, function = operator.split(".")
+    called = MagicMock()
+    called.return_value.__getitem__.return_value = MagicMock()
+    called.return_value.__iter__.return_value = iter([MagicMock(), MagicMock()])
+    monkeypatch.setattr({"jobs": jobs, "wordvec": wordvec, "density": density}[module], function, called)
+    for f in ("size", "array_max"):
+        monkeypatch.setattr(features.F, f, MagicMock())
+    monkeypatch.setattr(features, "r6", MagicMock())
+    queries()[name](MagicMock(), FOLDER)
+    args, settings = called.call_args
+    assert settings == {}
+    assert args[1:] == {"jobs.evaluate": ("documents",), "density.sweep_min_cluster_size": (range(3, 51),)}.get(operator, ())
