@@ -59,3 +59,16 @@ def test_query_runs_the_whole_grid(monkeypatch, name, operator):
     args, settings = called.call_args
     assert settings == {}
     assert args[1:] == {"jobs.evaluate": ("documents",), "density.sweep_min_cluster_size": (range(3, 51),)}.get(operator, ())
+
+
+def test_component_sweep_runs_the_whole_grid(monkeypatch):
+    from docgroups.plans import jobs, sweeps
+    from docgroups.registry import vectors
+
+    monkeypatch.setattr(vectors, "texts", MagicMock())
+    reduced, sweep = MagicMock(return_value=("vectors", [2, 300])), MagicMock()
+    monkeypatch.setattr(jobs, "reduced_corpus", reduced)
+    monkeypatch.setattr(sweeps, "component_sweep", sweep)
+    queries()["d4_component_sweep"](MagicMock(), FOLDER)
+    assert reduced.call_args.args[1] == (2, 5, 10, 20, 50, 100, 200, 300)
+    assert sweep.call_args == (("vectors", [2, 300]), {})
