@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgroups.llm import hamming, language, near_vectors, packing, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
+from docgroups.llm import hamming, language, lexical_rank, near_vectors, packing, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
 from docgroups.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +76,10 @@ def jaccard_join(spark, d):
     return shingle_join.link(_table(spark, d, "documents"), words=3, num=90, den=100)
 
 
+def ranked_search(spark, d):
+    return lexical_rank.rank(_table(spark, d, "documents"), _table(spark, d, "benchmark"), 50)
+
+
 NEAREST_SQL = """
 WITH found AS (
   SELECT q.vec_id AS query_id, e.vec_id AS id,
@@ -167,6 +171,29 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM reac
 SELECT a AS doc_id, any_value(n.n) AS n_shingles, min(b) AS component_id FROM reach JOIN n ON n.doc_id = a GROUP BY a
 """
 
+LEXICAL_SQL = r"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), held AS (SELECT r, doc_id, t, len(t)::BIGINT AS n FROM t WHERE len(t) > 0),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM held),
+counts AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(t) AS term FROM held) GROUP BY ALL),
+weighted AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM counts GROUP BY ALL), totals
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), lengths AS (SELECT r, doc_id, 50 + (50 * n * docs) // terms AS m FROM held, totals),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM wanted JOIN weighted USING (term) JOIN counts USING (term) JOIN lengths USING (r) GROUP BY ALL
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 QUERIES = {
     "op1_language_id": (language_id, None),
     "op2_nearest_codes": (nearest_codes, NEAREST_SQL),
@@ -178,4 +205,5 @@ QUERIES = {
     "op8_warc_revisits": (warc_revisits, WARC_SQL),
     "op9_toxicity_chain": (toxicity_chain, None),
     "op10_jaccard_join": (jaccard_join, JACCARD_SQL),
+    "op12_ranked_search": (ranked_search, LEXICAL_SQL),
 }
