@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgroups.llm import hamming, language, lexical_rank, near_vectors, packing, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
+from docgroups.llm import collocations, hamming, language, lexical_rank, near_vectors, packing, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
 from docgroups.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,6 +80,10 @@ def ranked_search(spark, d):
     return lexical_rank.rank(_table(spark, d, "documents"), _table(spark, d, "benchmark"), 50)
 
 
+def phrase_collocations(spark, d):
+    return collocations.mine(_table(spark, d, "documents"))
+
+
 NEAREST_SQL = """
 WITH found AS (
   SELECT q.vec_id AS query_id, e.vec_id AS id,
@@ -194,6 +198,34 @@ scored AS (
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """
 
+COLLOCATIONS_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+f AS (
+  SELECT lang, words, phrase, count(*)::BIGINT AS f FROM (
+    SELECT lang, s AS words, unnest(list_transform(range(1, len(w) - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3)) AS sizes(s)
+  ) GROUP BY ALL
+), n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT lang, words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words >= 2 AND f >= 10),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM candidates WHERE words = 3
+  UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM candidates WHERE words = 3
+), longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+alone AS (SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM alone, (VALUES (1), (2)) AS cut(k) WHERE k < words
+), valued AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, ((1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail
+), lowest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM valued) WHERE place = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_language_id": (language_id, None),
     "op2_nearest_codes": (nearest_codes, NEAREST_SQL),
@@ -205,5 +237,6 @@ QUERIES = {
     "op8_warc_revisits": (warc_revisits, WARC_SQL),
     "op9_toxicity_chain": (toxicity_chain, None),
     "op10_jaccard_join": (jaccard_join, JACCARD_SQL),
+    "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
     "op12_ranked_search": (ranked_search, LEXICAL_SQL),
 }
