@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgroups.llm import collocations, hamming, language, lexical_rank, near_vectors, packing, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
+from docgroups.llm import collocations, hamming, language, lexical_rank, near_vectors, packing, paragraph_sketch, piece_bpe, secrets, shingle_join, token_counts, toxicity, warc
 from docgroups.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,6 +76,10 @@ def jaccard_join(spark, d):
     return shingle_join.link(_table(spark, d, "documents"), words=3, num=90, den=100)
 
 
+def paragraph_fingerprints(spark, d):
+    return paragraph_sketch.compare(_table(spark, d, "documents"))
+
+
 def ranked_search(spark, d):
     return lexical_rank.rank(_table(spark, d, "documents"), _table(spark, d, "benchmark"), 50)
 
@@ -175,6 +179,29 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM reac
 SELECT a AS doc_id, any_value(n.n) AS n_shingles, min(b) AS component_id FROM reach JOIN n ON n.doc_id = a GROUP BY a
 """
 
+FINGERPRINT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id), first(t) OVER (ORDER BY doc_id)) AS after FROM d),
+v AS (SELECT doc_id, n, t, after, substr(t, 1, (n - n // 4)::BIGINT) || substr(after, 1, (n // 4)::BIGINT) AS edited FROM o),
+texts AS (SELECT doc_id, 0 AS v, t AS x FROM v UNION ALL SELECT doc_id, 1, edited FROM v UNION ALL SELECT doc_id, 2, after FROM v),
+p AS (SELECT doc_id, v, unnest(list_distinct(list_filter(regexp_extract_all(x, '[^\n]{0,32}[^.!?\n]{0,96}[.!?\n]*'), lambda y: y <> ''))) AS p FROM texts),
+k AS (SELECT DISTINCT doc_id, v, ('0x' || substr(md5(p), 1, 15))::BIGINT AS k FROM p),
+f AS (SELECT *, k & 1048575 AS a, (k >> 20) & 1048575 AS b, (k >> 40) & 1048575 AS c FROM k),
+checked AS (SELECT *, ((a * a) % 2147483647 * 524287 + (b * b) % 2147483647 * 131071 + (c * c) % 2147483647 * 8191
+  + (a * b) % 2147483647 * 127 + (b * c) % 2147483647 * 31) % 2147483647 AS s FROM f),
+placed AS (SELECT doc_id, v, k, s, unnest([a % 16, b % 16 + 16, c % 16 + 32]) AS cell FROM checked WHERE v < 2),
+cells AS (SELECT doc_id, v, cell, count(*) AS n, bit_xor(k) AS k, bit_xor(s) AS s FROM placed GROUP BY ALL),
+prints AS (SELECT doc_id, v, string_agg(concat_ws('.', to_hex(cell), to_hex(n), to_hex(k), to_hex(s)), ' ' ORDER BY cell) AS print FROM cells GROUP BY ALL),
+sizes AS (SELECT doc_id, count(*) FILTER (v = 0) AS n0, count(*) FILTER (v = 1) AS n1, count(*) FILTER (v = 2) AS n2 FROM k GROUP BY ALL),
+held AS (SELECT doc_id, k, bool_or(v = 0) AS x, bool_or(v = 1) AS y, bool_or(v = 2) AS z FROM k GROUP BY ALL),
+shared AS (SELECT doc_id, count(*) FILTER (x AND y) AS c1, count(*) FILTER (x AND z) AS c2 FROM held GROUP BY ALL)
+SELECT v.doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256, coalesce(x.print, '') AS fingerprint, coalesce(y.print, '') AS edited_fingerprint,
+  CASE WHEN coalesce(n0 + n1, 0) = 0 THEN 1.0::DOUBLE ELSE c1::DOUBLE / (n0 + n1 - c1) END AS near_edited,
+  CASE WHEN coalesce(n0 + n2, 0) = 0 THEN 1.0::DOUBLE ELSE c2::DOUBLE / (n0 + n2 - c2) END AS near_next
+FROM v LEFT JOIN prints x ON x.doc_id = v.doc_id AND x.v = 0 LEFT JOIN prints y ON y.doc_id = v.doc_id AND y.v = 1
+  LEFT JOIN sizes ON sizes.doc_id = v.doc_id LEFT JOIN shared ON shared.doc_id = v.doc_id
+"""
+
 LEXICAL_SQL = r"""
 WITH t AS (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -237,6 +264,7 @@ QUERIES = {
     "op8_warc_revisits": (warc_revisits, WARC_SQL),
     "op9_toxicity_chain": (toxicity_chain, None),
     "op10_jaccard_join": (jaccard_join, JACCARD_SQL),
-    "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
+    "op11_paragraph_fingerprints": (paragraph_fingerprints, FINGERPRINT_SQL),
     "op12_ranked_search": (ranked_search, LEXICAL_SQL),
+    "op13_phrase_collocations": (phrase_collocations, COLLOCATIONS_SQL),
 }
