@@ -32,7 +32,7 @@ def _scores(own: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> tuple[np.n
     return a, np.where(np.isfinite(b), b, np.nan), s
 
 
-def _score_table(ids, labels: np.ndarray, sums: np.ndarray, sizes: list[np.ndarray]) -> dict:
+def score_table(ids, labels: np.ndarray, sums: np.ndarray, sizes: list[np.ndarray]) -> dict:
     parts, start = [], 0
     for g, counts in enumerate(sizes):
         parts.append(_scores(labels[:, g], sums[:, start:start + counts.size], counts))
@@ -93,7 +93,7 @@ def euclidean_silhouettes(grouped: DataFrame, ks: list[int]) -> DataFrame:
         for t in batches:
             if t.num_rows:
                 yield pa.RecordBatch.from_pydict(
-                    _score_table(t["id"], matrix(t["labels"]), matrix(t["sums"]), sizes)
+                    score_table(t["id"], matrix(t["labels"]), matrix(t["sums"]), sizes)
                 )
 
     return total.mapInArrow(score, SCORES)
@@ -137,7 +137,7 @@ def _linear_silhouettes(grouped: DataFrame, ks: list[int], squared: bool) -> Dat
                 dist = count - products
                 rows = np.arange(len(labels))[:, None]
                 dist[rows, labels + starts] -= 1.0 - sq
-            yield pa.RecordBatch.from_pydict(_score_table(t["id"], labels, dist, sizes))
+            yield pa.RecordBatch.from_pydict(score_table(t["id"], labels, dist, sizes))
 
     return grouped.select("id", "vec", "labels").mapInArrow(score, SCORES)
 
@@ -170,10 +170,15 @@ METHODS = {"euclidean": euclidean_silhouettes, "cosine": cosine_silhouettes, "sq
 
 def mean_silhouettes(grouped: DataFrame, ks: list[int], method: str = "euclidean") -> DataFrame:
     """``(g, silhouette)`` per grouping; NULL with fewer than two groups or as many groups as rows."""
+    return mean_of_scores(grouped, METHODS[method](grouped, ks))
+
+
+def mean_of_scores(grouped: DataFrame, scores: DataFrame) -> DataFrame:
+    """``(g, silhouette)`` from the scores of all rows ``(id, a, b, s)``."""
     used = grouped.select(F.posexplode("labels").alias("g", "c")).groupBy("g").agg(
         F.count_distinct("c").alias("groups"), F.count("*").alias("n")
     )
-    scores = METHODS[method](grouped, ks).select(F.posexplode("s").alias("g", "s"))
+    scores = scores.select(F.posexplode("s").alias("g", "s"))
     means = scores.groupBy("g").agg(F.avg("s").alias("mean"))
     defined = (F.col("groups") >= 2) & (F.col("groups") < F.col("n"))
     return used.join(means, "g").select("g", F.when(defined, F.col("mean")).alias("silhouette"))
