@@ -52,20 +52,24 @@ def mutual_reachability(pairs: DataFrame, cores: DataFrame) -> DataFrame:
     return joined.select("run", "id", "neighbour", "dist", reach.alias("reach"))
 
 
-def _cell_tree(u: np.ndarray, core: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Spanning forest of one cell: all pairs of a block, or all pairs across two blocks."""
+def _cell_tree(u: np.ndarray, core: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spanning forest of one cell, all pairs of a block or all pairs across two blocks, in the order (weight, lower id, higher id)."""
     n, inside = len(u), bool((left == right).all())
     near, parent = np.full(n, np.inf), np.full(n, -1)
+    low, high = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     outside = np.ones(n, dtype=bool)
     at, ends, weights = 0, [], []
     for _ in range(n - 1):
         outside[at] = False
         reach = np.round(np.clip(1.0 - u @ u[at], 0.0, 2.0), 12)
         reach = np.maximum(np.maximum(reach, core), core[at])
-        open_to = outside if inside else outside & (left != left[at])
-        closer = open_to & (reach < near)
-        near[closer], parent[closer] = reach[closer], at
-        at = int(np.where(outside, near, np.inf).argmin())
+        lower, higher = np.minimum(ids, ids[at]), np.maximum(ids, ids[at])
+        first = (reach < near) | ((reach == near) & ((lower < low) | ((lower == low) & (higher < high))))
+        closer = first & (outside if inside else outside & (left != left[at]))
+        near[closer], parent[closer], low[closer], high[closer] = reach[closer], at, lower[closer], higher[closer]
+        open_to = np.flatnonzero(outside)
+        best = open_to[near[open_to] == near[open_to].min()]
+        at = int(best[np.lexsort((high[best], low[best]))[0]])
         if not np.isfinite(near[at]):
             break
         ends.append((parent[at], at))
@@ -75,7 +79,7 @@ def _cell_tree(u: np.ndarray, core: np.ndarray, left: np.ndarray, right: np.ndar
 
 
 def reachability_tree(vectors: DataFrame, cores: DataFrame | None, sizes: list[int]) -> DataFrame:
-    """``(run, a, b, w)``: minimum spanning tree of mutual reachability, per run.
+    """``(run, a, b, w)``: minimum spanning tree of mutual reachability, per run; equal weights go by a, then b, so there is one such tree.
 
     Every pair of blocks gives the spanning forest of its own pairs, in which each edge left out is no
     lighter than some path; the tree of all rows lies in the union of these forests. Without cores the
@@ -95,7 +99,7 @@ def reachability_tree(vectors: DataFrame, cores: DataFrame | None, sizes: list[i
         left, right = block == table["ci"][0].as_py(), block == table["cj"][0].as_py()
         out = []
         for g, size in enumerate(sizes):
-            a, b, w = _cell_tree(u, core[:, g], left, right)
+            a, b, w = _cell_tree(u, core[:, g], ids, left, right)
             lo, hi = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
             out.append((np.full(len(w), size, dtype=np.int32), lo, hi, w))
         run, a, b, w = (np.concatenate(c) for c in zip(*out))

@@ -162,3 +162,27 @@ def test_component_sweep_keeps_every_size(spark):
     assert [r["n_components"] for r in found] == [2, 3]
     with pytest.raises(ValueError):
         sweeps.component_sweep(rows, (2, 4), [2])
+
+
+def test_approximate_neighbours_find_nine_of_ten(spark):
+    from docgroups.operators import approximate
+
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 24))
+    x = centres[rng.integers(0, 40, 1500)] + 0.35 * rng.normal(size=(1500, 24))
+    x[:200] = x[0]  # copies that no sign tells apart
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    exact = {(r["id"], r["rank"]): r["dist"] for r in geometry.nearest_neighbours(rows, 5).collect()}
+    found = approximate.approximate_neighbours(rows, 5, bucket_rows=150).collect()
+    hits = sum(r["dist"] <= exact[r["id"], 5] + 1e-9 for r in found)
+    assert hits >= 0.9 * len(exact)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    assert all(abs(r["dist"] - max(0, 1 - u[r["id"]] @ u[r["neighbour"]])) < 1e-9 and r["id"] != r["neighbour"] for r in found)
+    assert approximate.buckets(approximate.signatures(rows, 2).select("id", "table", "code"), 1500, 150).groupBy("table", "depth", "bucket").count().agg({"count": "max"}).first()[0] <= 300
+
+
+def test_approximate_neighbours_of_few_rows(spark):
+    from docgroups.operators import approximate
+
+    one = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vec array<double>")
+    assert approximate.approximate_neighbours(one, 3).isEmpty() and approximate.approximate_neighbours(one.limit(0), 3).isEmpty()
