@@ -32,7 +32,7 @@ from docgroups.llm.batches import bounded
 from docgroups.llm.fm_index import BREAK, Index
 from docgroups.session import cut
 
-SHARD_BYTES = 6 << 20  # text of a language that is indexed at once, about a million words
+SHARD_BYTES = 3 << 20  # text of a language that is indexed at once, about half a million words
 FILTER_BITS = 1 << 27  # greatest size of the filter of frequent phrases, 16 MB
 BITS_PER_PHRASE, HASHES = 12, 3
 OUT_ROWS = 100_000
