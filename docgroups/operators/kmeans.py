@@ -6,8 +6,6 @@ A sweep would scan the table once per iteration and group count. Here every scan
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
@@ -16,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.functions.arrays import lists, matrix, unit, unit_matrix, vector_sum
+from docgroups.operators.seeds import first_rows, spread
 from docgroups.session import BROADCAST_BYTES, row_bytes
 
 TOLERANCE = 1e-4
-SEED_ROUNDS = 5
+STILL = 1e-20
+FAR = 1e6  # coordinates of the centre of an empty group
 
 
 def run_kmeans(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 300):
@@ -70,63 +70,17 @@ def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(d2, 0.0)
 
 
-def _nearest_candidate(points: DataFrame, candidates: np.ndarray) -> DataFrame:
-    """``(id, vec, u, near, d2)``: the closest seed candidate of each row."""
-    def near(batches):
-        for t in batches:
-            if t.num_rows:
-                d2 = _distances(matrix(t["vec"]), candidates)
-                best = d2.argmin(axis=1)
-                yield pa.RecordBatch.from_pydict({
-                    "id": t["id"], "vec": t["vec"], "near": best.astype(np.int32),
-                    "d2": d2[np.arange(len(best)), best],
-                })
-
-    return points.select("id", "vec").mapInArrow(near, "id long, vec array<double>, near int, d2 double")
-
-
-def _uniform(seed: int, turn: int):
-    """A repeatable number in (0, 1) per id."""
-    bits = F.shiftrightunsigned(F.xxhash64("id", F.lit(seed), F.lit(turn)), 11)
-    return (bits.cast("double") + 0.5) / float(1 << 53)
-
-
-def seed_candidates(points: DataFrame, k: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted seed candidates by oversampled D-squared rounds (k-means||): about 2k rows per round."""
-    first = points.select("vec", _uniform(seed, 0).alias("u")).agg(F.min_by("vec", "u")).first()[0]
-    found = np.array([first])
-    for turn in range(1, SEED_ROUNDS + 1):
-        near = _nearest_candidate(points, found)
-        cost = near.agg(F.sum("d2")).first()[0] or 0.0
-        if cost <= 0:
-            break
-        drawn = near.where(_uniform(seed, turn) < F.col("d2") * (2.0 * k / cost)).select("vec").distinct().collect()
-        if drawn:
-            found = np.concatenate([found, np.array([r[0] for r in drawn])])
-    found = found[np.lexsort(found.T[::-1])]
-    weight = np.zeros(len(found))
-    for r in _nearest_candidate(points, found).groupBy("near").count().collect():
-        weight[r["near"]] = r["count"]
-    return found, weight
-
-
-def pick_seeds(candidates: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ over the weighted candidates, each step the best of a few draws."""
-    rng = np.random.default_rng(seed)
-    draws = 2 + int(math.log(k))
-    chosen = [int(rng.choice(len(candidates), p=weight / weight.sum()))]
-    d2 = _distances(candidates, candidates)
-    closest = d2[chosen[0]]
-    while len(chosen) < k:
-        mass = closest * weight
-        if mass.sum() <= 0:
-            break
-        trial = rng.choice(len(candidates), size=draws, p=mass / mass.sum())
-        after = np.minimum(closest[None, :], d2[trial])
-        best = int((after * weight).sum(axis=1).argmin())
-        chosen.append(int(trial[best]))
-        closest = after[best]
-    return candidates[chosen]
+def seed_rows(points: DataFrame, size: int, k: int, seed: int = 42) -> np.ndarray:
+    """Up to ``k`` seeds (see ``seeds``) of rows cut to ``size`` and unit length; zero rows are left out.
+
+    Rows that are equal in nine digits count as the one with the smallest id.
+    """
+    cut_rows = points.select("id", unit(F.slice("vec", 1, size)).alias("vec")).where(F.exists("vec", lambda x: x != 0))
+    same = F.transform("vec", lambda x: F.round(x, 9))
+    first = first_rows(cut_rows.groupBy(same.alias("same")).agg(F.min_by("vec", "id").alias("vec"), F.min("id").alias("id")).drop("same"), seed)
+    x = np.array([r["vec"] for r in first]).reshape(-1, size)
+    row, column = np.divmod(np.arange(x.size), size)
+    return x[spread(np.array([r["id"] for r in first]), row, column, x.ravel(), k, seed)]
 
 
 def _scan(points: DataFrame, active: dict) -> dict:
@@ -143,7 +97,7 @@ def _scan(points: DataFrame, active: dict) -> dict:
                     if key[0] != size:
                         continue
                     d2 = _distances(x, centres)
-                    own = d2.argmin(axis=1)
+                    own = np.round(d2, 9).argmin(axis=1)
                     hot = np.zeros((len(centres), len(x)))
                     hot[own, np.arange(len(x))] = 1.0
                     cost = np.bincount(own, weights=d2[np.arange(len(x)), own], minlength=len(centres))
@@ -163,32 +117,33 @@ def _scan(points: DataFrame, active: dict) -> dict:
     return out
 
 
-def fit_sweep(points: DataFrame, ks: list[int], sizes: list[int], seed: int = 42, max_iter: int = 300) -> dict:
+def fit_sweep(points: DataFrame, ks: list[int], sizes: list[int], seed: int = 42, max_iter: int = 300, tolerance: float = TOLERANCE) -> dict:
     """Centres and inertia per ``(size, k)``. ``points`` is ``(id, vec)``, read once per iteration.
 
-    The state on the driver is the centres, sum(ks) * sum(sizes) numbers.
+    A run ends when its centres move by no more than ``tolerance`` times the mean variance; with 0 it ends when no row changes its group.
+    A group that loses all its rows stays empty. The state on the driver is the centres, sum(ks) * sum(sizes) numbers.
     """
     if 8 * sum(ks) * sum(sizes) > BROADCAST_BYTES:
         raise ValueError("the sweep's centres exceed the broadcast bound; sweep fewer sizes at once")
-    found, weight = seed_candidates(points, max(ks), seed)
     centres = {}
     for size in sizes:
-        at_size = unit_matrix(found[:, :size])
+        seeds = seed_rows(points, size, max(ks), seed)
         for k in ks:
-            centres[(size, k)] = pick_seeds(at_size, weight, k, seed)
+            centres[(size, k)] = seeds[:k] if len(seeds) else np.zeros((1, size))
     costs, active, spread = {}, dict(centres), {}
     for _ in range(max_iter):
         sums = _scan(points, active)
         still = {}
         for key, s in sums.items():
             rows, old = s[:, :1], active[key]
-            new = np.divide(s[:, 2:], rows, out=old.copy(), where=rows > 0)
+            new = np.divide(s[:, 2:], rows, out=np.full_like(old, FAR), where=rows > 0)
             if key[0] not in spread:
-                n, total = rows.sum(), s[:, 2:].sum(axis=0)
+                n, total = max(rows.sum(), 1.0), s[:, 2:].sum(axis=0)
                 nonzero = s[:, 1].sum() + 2.0 * (old * s[:, 2:]).sum() - ((old * old).sum(axis=1) * s[:, 0]).sum()
                 spread[key[0]] = (nonzero / n - ((total / n) ** 2).sum()) / key[0]
             centres[key], costs[key] = new, float(s[:, 1].sum())
-            if ((new - old) ** 2).sum() > TOLERANCE * spread[key[0]]:
+            # What rounding alone moves is far below STILL, and a row that changes its group moves its centre by more.
+            if ((new - old) ** 2).sum() > max(tolerance * spread[key[0]], STILL):
                 still[key] = new
         active = still
         if not active:
@@ -205,7 +160,7 @@ def label_sweep(points: DataFrame, fits: dict, size: int, ks: list[int]) -> Data
         for t in batches:
             if t.num_rows:
                 x = unit_matrix(matrix(t["vec"])[:, :size])
-                labels = np.stack([_distances(x, c).argmin(axis=1) for c in centres], axis=1)
+                labels = np.stack([np.round(_distances(x, c), 9).argmin(axis=1) for c in centres], axis=1)
                 yield pa.RecordBatch.from_pydict(
                     {"id": t["id"], "vec": lists(x), "labels": lists(labels.astype(np.int32))}
                 )

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgroups.operators.kmeans import fit_sweep, label_sweep
+from docgroups.operators.kmeans import TOLERANCE, fit_sweep, label_sweep
 from docgroups.operators.kselect import best_k_by_silhouette
 from docgroups.operators.linkage import average_merges, cut_merges
 from docgroups.operators.reduce import first_components
@@ -42,7 +42,7 @@ def _silhouettes(grouped: DataFrame, ks: list[int], method: str, size: int) -> D
 
 def kmeans_sweep(
     vectors: DataFrame, ks: list[int], sizes: list[int] | None = None, seed: int = 42,
-    method: str = "euclidean", truth: DataFrame | None = None,
+    method: str = "euclidean", truth: DataFrame | None = None, tolerance: float = TOLERANCE,
 ) -> tuple[DataFrame, DataFrame]:
     """``(n_components, k, inertia, silhouette)`` and the assignments ``(n_components, k, id, cluster)``.
 
@@ -51,7 +51,7 @@ def kmeans_sweep(
     ks = list(ks)
     sizes = list(sizes or [width_of(vectors)])
     points = cut(vectors.select("id", "vec"))
-    fits = fit_sweep(points, ks, sizes, seed)
+    fits = fit_sweep(points, ks, sizes, seed, tolerance=tolerance)
     scores, labels = [], []
     for size in sizes:
         grouped = cut(label_sweep(points, fits, size, ks))
@@ -86,10 +86,10 @@ def agglomerative_sweep(vectors: DataFrame, ks: list[int], sizes: list[int] | No
 
 def scored_sweep(
     vectors: DataFrame, truth: DataFrame, ks: list[int], sizes: list[int] | None = None,
-    seed: int = 42, method: str = "euclidean",
+    seed: int = 42, method: str = "euclidean", tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``(n_components, k, inertia, silhouette, nmi, ari, ami)`` for ``truth`` ``(id, label)``."""
-    sweep, labels = kmeans_sweep(vectors, ks, sizes, seed, method, truth)
+    sweep, labels = kmeans_sweep(vectors, ks, sizes, seed, method, truth, tolerance)
     scores = score_groups(labels, keys=(SIZE, "k"))
     joined = sweep.join(scores.select(SIZE, "k", "nmi", "ari", "ami"), [SIZE, "k"])
     return cut(joined.select(SIZE, "k", "inertia", "silhouette", "nmi", "ari", "ami"))

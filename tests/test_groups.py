@@ -37,14 +37,14 @@ def agglomerate(dist, pick):
     return heights, cuts
 
 
-@pytest.mark.parametrize("finish_at", [512, 1])
-def test_average_linkage(spark, finish_at):
+@pytest.mark.parametrize("block_rows", [8192, 7])
+def test_average_linkage(spark, block_rows):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(40, 4))
     x[10], x[20] = x[3], x[3]
     y = x[:, :3]
     rows = table(spark, x, 0).unionByName(table(spark, y, 1))
-    merges = linkage.average_merges(rows, finish_at=finish_at)
+    merges = linkage.average_merges(rows, block_rows)
     got = merges.collect()
     labels = linkage.cut_merges(rows, merges, [2, 3, 5, 9]).orderBy("id").collect()
     for run, data in ((0, x), (1, y)):
