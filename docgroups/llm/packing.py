@@ -39,15 +39,15 @@ class Encoder:
     """Token ids of texts as bytes, little-endian and unsigned 32-bit.
 
     The pre-tokeniser never joins what a single blank between two other characters parts, so a text is cut
-    there and each distinct cut is encoded once. Texts with other white space next to a blank go to the
-    tokenizer as they are. Strings of special tokens in a text are ordinary text.
+    there and each distinct cut is encoded once. Texts with other white space next to a blank, and those that hold the
+    string of an added token, which the tokenizer gives its own id, go to the tokenizer as they are.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         # In a byte-level vocabulary each character of a token stands for one byte.
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
@@ -70,7 +70,7 @@ class Encoder:
         if len(self.known) > CACHE_ENTRIES:
             self.known.clear()
         known = self.known
-        cuts = [[text] if UNSAFE.search(text) else text.replace(" ", "\0 ").split("\0") for text in texts]
+        cuts = [[text] if UNSAFE.search(text) or any(a in text for a in self.added) else text.replace(" ", "\0 ").split("\0") for text in texts]
         heads = list({cut[0] for cut in cuts}.difference(known))
         known.update(zip(heads, self.ids(heads)))
         fresh = list({x for cut in cuts for x in cut}.difference(known))
@@ -245,13 +245,13 @@ def plan(counts: np.ndarray, capacity: int) -> list[tuple[Counter, int]]:
     """``(lengths in a bin, how many such bins)`` that hold exactly ``counts[l]`` pieces of each length.
 
     Full pieces are bins of their own. The program is rounded in two ways, and the plan with the fewest bins is
-    taken, best-fit decreasing alone if it needs no more.
+    taken; best-fit decreasing alone only if it needs fewer.
     """
     left = counts.astype(np.int64).copy()
     full, left[capacity] = int(left[capacity]), 0
     bins = [(Counter({capacity: 1}), full)] if full else []
     program, _ = configuration_lp(left, capacity)
-    plans = [best_fit(left, capacity), *(rounded(program, left, capacity, carried) for carried in (False, True))]
+    plans = [*(rounded(program, left, capacity, carried) for carried in (False, True)), best_fit(left, capacity)]
     return bins + min(plans, key=lambda x: sum(n for _, n in x))
 
 

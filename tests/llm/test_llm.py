@@ -128,6 +128,24 @@ def test_pieces_equal_the_tokenizer():
     assert encode(texts[::-1]) == encode.ids(texts[::-1])
 
 
+def test_added_tokens_have_the_ids_of_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y  z", "<|endoftext| > b", "<|endoftext|><|endoftext|> a b", "a b c d"]
+    plain, encode = Tokenizer.from_file(BYTE_BPE), packing.Encoder(BYTE_BPE)
+    for _ in range(2):
+        assert [list(np.frombuffer(x, dtype="<u4")) for x in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_equal_plans_come_from_the_program():
+    counts = np.zeros(1025, int)
+    counts[[500, 480, 474, 320]] = 1000
+    program, _ = packing.configuration_lp(counts, 1024)
+    plans = [packing.rounded(program, counts, 1024, carried) for carried in (False, True)]
+    least = min(sum(n for _, n in p) for p in plans)
+    assert least <= sum(n for _, n in packing.best_fit(counts, 1024)) and packing.plan(counts, 1024) in plans
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_holds_every_piece_once(seed):
     rng = np.random.default_rng(seed)
