@@ -1,7 +1,8 @@
 """TF-IDF as long tables.
 
-A corpus is ``(doc_id, text, ...)`` with unique ids. Texts are shuffled once by ``doc_id``; counting,
-weighting and the per-document norm then stay inside that partitioning.
+A corpus is ``(doc_id, text, ...)`` with unique ids. Terms are counted inside the row of their document, so texts are read
+once and stay where they are: only counts move, for the document frequencies and for the norm of a document. Texts of fewer files than there
+are cores are dealt to all cores first.
 """
 
 from __future__ import annotations
@@ -34,11 +35,43 @@ def df_bound(value, n_docs: int) -> float:
     return value
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once a row, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def counted(terms: Column) -> Column:
+    """``array<struct<term, tf>>`` of an array of terms: runs of equal ones once it is sorted."""
+
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+        return _let(starts, lambda at: F.transform(at, lambda p, j: F.struct(
+            F.get(ordered, p).alias("term"), (F.coalesce(F.get(at, j + 1), F.size(ordered)) - p).cast("long").alias("tf")
+        )))
+
+    none = F.array().cast("array<struct<term:string,tf:bigint>>")
+    return _let(F.array_sort(terms), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)).otherwise(none))
+
+
+def packed_counts(corpus: DataFrame, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
+    """``(doc_id, cells)``: the terms of each document with their counts, in its row."""
+    corpus = corpus.select("doc_id", "text")
+    if len(corpus.inputFiles()) < corpus.sparkSession.sparkContext.defaultParallelism:
+        corpus = corpus.repartition("doc_id")
+    tokens = corpus.select("doc_id", word_tokens(F.col("text")).alias("tokens"))
+    terms = F.col("tokens") if ngram_range == (1, 1) else _let(F.col("tokens"), lambda t: ngrams(t, *ngram_range))
+    return tokens.select("doc_id", counted(terms).alias("cells"))
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """``(doc_id, term, tf)`` of packed counts."""
+    return packed.select("doc_id", F.explode("cells").alias("cell")).select("doc_id", "cell.term", "cell.tf")
+
+
 def term_counts(corpus: DataFrame, ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
     """``(doc_id, term, tf)``."""
-    tokens = corpus.select("doc_id", "text").repartition("doc_id").select("doc_id", word_tokens(F.col("text")).alias("tokens"))
-    terms = F.col("tokens") if ngram_range == (1, 1) else ngrams(F.col("tokens"), *ngram_range)
-    return tokens.select("doc_id", F.explode(terms).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
+    return unpacked(packed_counts(corpus, ngram_range))
 
 
 def document_frequencies(counts: DataFrame) -> DataFrame:
@@ -96,8 +129,11 @@ def build_tfidf(
     max_features: int | None = None,
     ngram_range: tuple[int, int] = (1, 1),
 ) -> tuple[DataFrame, DataFrame]:
-    """The weighted rows and the vocabulary. Documents without a known term have no weighted row."""
-    counts = term_counts(corpus, ngram_range)
+    """The weighted rows and the vocabulary. Documents without a known term have no weighted row.
+
+    Counts are written once, for the vocabulary and for the weights.
+    """
+    counts = unpacked(cut(packed_counts(corpus, ngram_range)))
     vocabulary = fit_vocabulary(counts, corpus.count(), min_df, max_df, max_features)
     return weigh(counts, vocabulary, sublinear_tf), vocabulary
 
@@ -166,9 +202,21 @@ def with_zero_rows(packed: DataFrame, corpus: DataFrame) -> DataFrame:
 
 
 def variant_weights(counts: DataFrame, vocabularies: DataFrame, n_docs: int, variants: dict = VARIANTS) -> DataFrame:
-    """``(variant, doc_id, term, tfidf)`` of all settings, from one count of the tokens."""
-    sublinear = [name for name, v in variants.items() if v["sublinear_tf"]]
-    joined = counts.join(broadcast_if_small(vocabularies), "term")
-    tf = F.when(F.col("variant").isin(sublinear), tf_weight(F.col("tf"), True)).otherwise(tf_weight(F.col("tf"), False))
-    rows = joined.select("variant", "doc_id", "term", (tf * smooth_idf(F.col("df"), n_docs)).alias("w"))
-    return unit_rows(rows, ["variant", "doc_id"])
+    """``(variant, doc_id, term, tfidf)`` of all settings, from one count of the tokens.
+
+    A term of a document is one row with a weight for each setting until the norms are known.
+    """
+    held = vocabularies.groupBy("term", "df").agg(F.collect_set("variant").alias("variants"))
+    joined = counts.join(broadcast_if_small(cut(held)), "term")
+    weights = {
+        name: F.when(F.array_contains("variants", name), tf_weight(F.col("tf"), v["sublinear_tf"]) * smooth_idf(F.col("df"), n_docs))
+        for name, v in variants.items()
+    }
+    rows = joined.select("doc_id", "term", *[w.alias(f"w_{i}") for i, w in enumerate(weights.values())])
+    document = Window.partitionBy("doc_id")
+    norms = [F.sqrt(F.sum(F.col(f"w_{i}") * F.col(f"w_{i}")).over(document)).alias(f"n_{i}") for i in range(len(weights))]
+    rows = rows.select("*", *norms)
+    each = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("variant"), (F.col(f"w_{i}") / F.col(f"n_{i}")).alias("tfidf")) for i, name in enumerate(weights)
+    ]))
+    return rows.select("doc_id", "term", each.alias("v")).select("v.variant", "doc_id", "term", "v.tfidf").where("tfidf IS NOT NULL")

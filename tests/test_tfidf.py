@@ -66,3 +66,18 @@ def test_one_shuffle_per_text(corpus):
     weights, _ = tfidf.build_tfidf(corpus, min_df=1, max_df=1.0)
     plan = weights._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_terms_are_counted_in_the_row(spark):
+    corpus = spark.createDataFrame([(1, "bb aa bb aa bb"), (2, ""), (3, None), (4, "zz")], "doc_id long, text string")
+    packed = {r["doc_id"]: [tuple(c) for c in r["cells"]] for r in tfidf.packed_counts(corpus).collect()}
+    assert packed == {1: [("aa", 2), ("bb", 3)], 2: [], 3: [], 4: [("zz", 1)]}
+    pairs = {r["term"]: r["tf"] for r in tfidf.term_counts(corpus.where("doc_id = 1"), (1, 2)).collect()}
+    assert pairs == {"aa": 2, "bb": 3, "aa bb": 2, "bb aa": 2}
+
+
+def test_texts_of_many_files_are_not_shuffled(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"aa w{i}") for i in range(64)], "doc_id long, text string")
+    rows.repartition(16).write.parquet(str(tmp_path / "docs"))
+    plan = tfidf.packed_counts(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
