@@ -206,17 +206,18 @@ def variant_weights(counts: DataFrame, vocabularies: DataFrame, n_docs: int, var
 
     A term of a document is one row with a weight for each setting until the norms are known.
     """
-    held = vocabularies.groupBy("term", "df").agg(F.collect_set("variant").alias("variants"))
+    flags = [F.max(F.col("variant") == name).alias(f"in_{i}") for i, name in enumerate(variants)]
+    held = vocabularies.groupBy("term", "df").agg(*flags)
     joined = counts.join(broadcast_if_small(cut(held)), "term")
-    weights = {
-        name: F.when(F.array_contains("variants", name), tf_weight(F.col("tf"), v["sublinear_tf"]) * smooth_idf(F.col("df"), n_docs))
-        for name, v in variants.items()
-    }
-    rows = joined.select("doc_id", "term", *[w.alias(f"w_{i}") for i, w in enumerate(weights.values())])
+    weights = [
+        F.when(F.col(f"in_{i}"), tf_weight(F.col("tf"), v["sublinear_tf"]) * smooth_idf(F.col("df"), n_docs)).alias(f"w_{i}")
+        for i, v in enumerate(variants.values())
+    ]
+    rows = joined.select("doc_id", "term", *weights)
     document = Window.partitionBy("doc_id")
     norms = [F.sqrt(F.sum(F.col(f"w_{i}") * F.col(f"w_{i}")).over(document)).alias(f"n_{i}") for i in range(len(weights))]
     rows = rows.select("*", *norms)
     each = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("variant"), (F.col(f"w_{i}") / F.col(f"n_{i}")).alias("tfidf")) for i, name in enumerate(weights)
+        F.struct(F.lit(name).alias("variant"), (F.col(f"w_{i}") / F.col(f"n_{i}")).alias("tfidf")) for i, name in enumerate(variants)
     ]))
     return rows.select("doc_id", "term", each.alias("v")).select("v.variant", "doc_id", "term", "v.tfidf").where("tfidf IS NOT NULL")
