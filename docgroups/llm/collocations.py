@@ -115,10 +115,10 @@ def shards(batches: Iterator, overlap: int, shard_bytes: int) -> Iterator[tuple[
     held, sizes = defaultdict(list), defaultdict(int)
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-            folded = (text or b"").translate(_FOLD)
+            folded, again = (text or b"").translate(_FOLD), b""
             while len(folded) > shard_bytes:
-                # Up to the end of a word; what follows starts ``overlap`` words before it.
-                end = folded.find(b" ", shard_bytes)
+                # Up to the end of a word, past those of the part before, however long they are; what follows starts ``overlap`` words before it.
+                end = folded.find(b" ", max(shard_bytes, len(again) + 1))
                 end = len(folded) if end < 0 else end
                 yield lang, folded[:end]
                 again = _last_words(folded[:end], overlap)
