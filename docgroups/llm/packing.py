@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docgroups.llm.batches import bounded
+from docgroups.llm.batches import bounded, give_back
 from docgroups.llm.once import once
 from docgroups.session import cut
 
@@ -115,6 +115,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
                     pa.array([len(x) // 4 for x in blobs], pa.int64()), pa.array(blobs, pa.binary()),
                 ], ["doc_id", "piece", "start", "length", "ids"])
         encode_texts.known.clear()  # a worker's memory is for its next task
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(docs.select("doc_id", "text")).mapInArrow(encode, f"doc_id {kind}, piece int, start long, length long, ids binary")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
-from docgroups.llm.batches import bounded
+from docgroups.llm.batches import bounded, give_back
 from docgroups.llm.graph import components
 from docgroups.session import cut
 
@@ -27,9 +27,11 @@ HOT_TERMS = 200_000  # so many of them are known to every task; more only cost t
 BROADCAST_ROWS = 1_000_000
 BATCH_ROWS = 1000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
-LIST_CELLS = 500_000  # of a block of probes by the rows of its list
+LIST_CELLS = 100_000  # of a block of probes by the rows of its list
+HELD_PAIRS = 100_000  # found pairs of a row and a star that a task holds at once
+ENTRIES = 50_000  # of index lists that a task reads at once, and the list that they end in
 CHUNK_BYTES = 500_000
-SENT_ITEMS = 500_000  # shingles that a task sends on at once
+SENT_ITEMS = 200_000  # shingles that a task sends on at once
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -113,6 +115,7 @@ def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.nd
                 if heads:
                     token, n = np.unique(np.concatenate(heads), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
+        give_back()
 
     counted = bounded(docs.select("text")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= HOT_DOCUMENTS).orderBy(F.desc("n"), "token").limit(HOT_TERMS).toPandas().sort_values("token")
@@ -153,6 +156,7 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
                 batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
                 pa.array(rare, pa.int32()), pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
             ], ["doc_id", "n", "hi", "lo", "rare", "anchor", "head", "prefix"])
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(docs.select("doc_id", "text")).mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare int, anchor long, head array<long>, prefix array<long>")
@@ -205,6 +209,7 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
                             out, size = [], 0
         if out:
             yield sent(out)
+        give_back()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y, leader = np.zeros(0, np.int64), None
@@ -223,20 +228,23 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
                 apart.append(len(x) + len(y) - 2 * common)
                 linked.append(den * common >= num * (len(x) + len(y) - common))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
+        give_back()
 
     made = bounded(rows.select("node", "hi", "lo", "jobs", "text")).mapInArrow(make, "b long, salt int, role int, a long, items array<long>")
     dealt = made.repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
     return dealt.mapInArrow(compare, "a long, b long, apart int, linked boolean")
 
 
-def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, cluster: np.ndarray, weight: np.ndarray, star: np.ndarray, num: int, den: int) -> tuple[list, list]:
-    """Row, star of another row of an index list that may be similar, and the row's size; from rows sorted by token.
+def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, cluster: np.ndarray, weight: np.ndarray, star: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row, star of another row of an index list that may be similar, and the row's size, distinct, and in how many lists; from rows sorted by token.
+
+    What is found is folded and handed on whenever HELD_PAIRS are held, so the lists of one call may make any number of them.
 
     Rows of one cluster are joined already. Of two clusters the smaller one's rows probe. A list is sorted by
     size, and a block of probes reads only the part whose sizes can do; the places of a shared shingle bound
     what two sets can still have in common.
     """
-    xs, sizes = [], []
+    held, count = [], 0
     cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
     low = np.minimum.reduceat(cluster, cuts[:-1])
     high = np.maximum.reduceat(cluster, cuts[:-1])
@@ -263,10 +271,13 @@ def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray,
             i, j = np.nonzero(near)
             if len(i):
                 # A row meets a star once in a list, however many of the star's rows do.
-                found = np.unique(np.stack([node[rows][p[i]], star[rows][other[j]], size[p[i]]]), axis=1)
-                xs.append(found[:2])
-                sizes.append(found[2])
-    return xs, sizes
+                held.append(np.unique(np.stack([node[rows][p[i]], star[rows][other[j]], size[p[i]]]), axis=1))
+                count += held[-1].shape[1]
+                if count >= HELD_PAIRS:
+                    yield np.unique(np.concatenate(held, axis=1), axis=1, return_counts=True)
+                    held, count = [], 0
+    if held:
+        yield np.unique(np.concatenate(held, axis=1), axis=1, return_counts=True)
 
 
 def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
@@ -291,19 +302,17 @@ def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
             end = len(token) if last else int(np.searchsorted(token, token[-1]))
             held, waiting, rows = [c[end:] for c in columns], [], 0
             if end:
-                xs, sizes = _probe(*[c[:end] for c in columns], num, den)
-                if xs:
-                    rows_of = np.concatenate([np.concatenate(xs, axis=1), np.concatenate(sizes)[None]])
-                    found, times = np.unique(rows_of, axis=1, return_counts=True)
+                for found, times in _probe(*[c[:end] for c in columns], num, den):
                     yield pa.RecordBatch.from_arrays([*map(pa.array, found), pa.array(times.astype(np.int64))], ["a", "star", "n", "times"])
 
         for batch in batches:
             waiting.append([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
             rows += len(batch)
-            if rows >= 200_000:
+            if rows >= ENTRIES:
                 yield from flush(False)
         if waiting or len(held[0]):
             yield from flush(True)
+        give_back()
 
     met = entries.select("token", "node", "n", "pos", "cluster", "weight", "star").mapInArrow(run, "a long, star long, n long, times long")
     counted = met.groupBy("a", "star", "n").agg(F.sum("times").alias("times"))
