@@ -96,9 +96,10 @@ def write(records: DataFrame, path: str) -> None:
 def parse(chunks: Iterator[str]) -> Iterator[tuple]:
     """Records of an archive that comes in parts between the separators; memory holds one record."""
     end = END.encode()
-    buffer, need, fields = b"", None, {}
+    buffer, need, fields = bytearray(), None, {}  # grows in place: a record of very many parts takes linear time
     for chunk in chunks:
-        buffer += chunk.encode() + end
+        buffer += chunk.encode()
+        buffer += end
         while True:
             if need is None:
                 at = buffer.find(end)
@@ -106,10 +107,13 @@ def parse(chunks: Iterator[str]) -> Iterator[tuple]:
                     break
                 lines = buffer[:at].decode().split("\r\n")
                 fields = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
-                need, buffer = int(fields["Content-Length"]), buffer[at + len(end):]
+                need = int(fields["Content-Length"])
+                del buffer[:at + len(end)]
             if len(buffer) < need + len(end):
                 break
-            block, buffer, need = buffer[:need].decode(), buffer[need + len(end):], None
+            block = buffer[:need].decode()
+            del buffer[:need + len(end)]
+            need = None
             yield (
                 _bare(fields.get("WARC-Record-ID")), fields["WARC-Type"], fields.get("WARC-Target-URI"),
                 fields.get("WARC-Payload-Digest", "").removeprefix("sha1:"), _bare(fields.get("WARC-Refers-To")), block,
