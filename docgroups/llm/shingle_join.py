@@ -1,9 +1,11 @@
 """Jaccard join of word n-gram sets, exact, for connected components of similar documents.
 
 Prefix filtering brings together sets that share one of their rarest shingles; index lists are skipped in blocks
-by size and position. Sets first gather in stars around a leader that they are similar to. What a star's
-other members need is then derived from the leader: a set meets the leader once, and only members whose known
-distance to the leader leaves a link possible are compared themselves.
+by size and position. Sets first gather in stars around a leader that they are close to, similar enough or not. A set of
+another star meets the leader alone. Everything else is derived from the leader: each set is kept as its difference to
+it, the few shingles that only one of the two holds. For two sets of a star ``|A ^ B| = |Da| + |Db| - 2 |Da & Db|``, so those
+that are not joined through the leader can only link if their differences share enough, and a prefix join on the differences,
+from which the common text has dropped out, finds them.
 """
 
 from __future__ import annotations
@@ -13,18 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
 from docgroups.llm.batches import bounded, give_back
 from docgroups.llm.graph import components
-from docgroups.session import cut
+from docgroups.session import broadcast_if_small, cut
 
 HEAD = 12  # smallest shingles that tell whether two sets are worth a comparison
 HOT_DOCUMENTS = 16  # a shingle in as many documents is ordered behind others
 HOT_TERMS = 200_000  # so many of them are known to every task; more only cost time
-BROADCAST_ROWS = 1_000_000
+LOOSE = 3  # a star takes sets in so many times the distance at which sets of its leader's size link
+BROADCAST_BYTES = 32 << 20
 BATCH_ROWS = 1000
 LEADER_ROWS = 128  # sets that meet one copy of their leader
 LIST_CELLS = 100_000  # of a block of probes by the rows of its list
@@ -96,6 +99,22 @@ def least_overlap(a, b, num: int, den: int):
     return -(-num * (a + b) // (num + den))
 
 
+def most_apart(both, num: int, den: int):
+    """Most shingles that only one of two similar sets holds, if together they count ``both``."""
+    return both - 2 * -(-num * both // (num + den))
+
+
+def star_reach(n: int, num: int, den: int) -> int:
+    """The distance to a leader of ``n`` shingles at which a set still joins its star; similar sets always do."""
+    return max(LOOSE * most_apart(2 * n, num, den), (den - num) * n // num)
+
+
+def guest_reach(n: int, num: int, den: int) -> int:
+    """The distance to a leader of ``n`` shingles beyond which a set is similar to no member of its star."""
+    largest = n + star_reach(n, num, den)
+    return star_reach(n, num, den) + (den - num) * largest // num + 1
+
+
 def _key(found: np.ndarray) -> tuple[int, int]:
     digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
@@ -163,12 +182,12 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
 
 
 def _if_small(df: DataFrame) -> DataFrame:
-    """Broadcast rows of a few numbers if there are at most BROADCAST_ROWS; otherwise the join shuffles."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """Broadcast a written table of at most BROADCAST_BYTES as text; otherwise the join shuffles."""
+    return broadcast_if_small(df, BROADCAST_BYTES)
 
 
 def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    """``(a, b, apart, linked)`` of distinct ``(a, b)``: shingles in one of the two sets only, and whether they are similar.
+    """``(a, b, apart, linked, diff)`` of distinct ``(a, b)``: shingles in one of the two sets only, whether they are similar, and those shingles if a star of ``b`` has use for them, else null.
 
     Sets are made anew from the text of the document that stands for each node, and move once: those of ``a`` to
     the set of ``b``, which is copied for every LEADER_ROWS of them.
@@ -214,7 +233,7 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y, leader = np.zeros(0, np.int64), None
         for batch in batches:
-            a, b, apart, linked = [], [], [], []
+            a, b, apart, linked, diff = [], [], [], [], []
             for group, role, node, items in zip(batch.column("b").to_pylist(), batch.column("role").to_pylist(), batch.column("a").to_pylist(), batch.column("items")):
                 x = items.values.to_numpy()
                 if role == 0:
@@ -222,17 +241,26 @@ def _verify(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, n
                     continue
                 assert leader == group
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common = int((y[at] == x).sum())
+                shared = y[at] == x
+                common = int(shared.sum())
                 a.append(node)
                 b.append(group)
                 apart.append(len(x) + len(y) - 2 * common)
                 linked.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
+                if apart[-1] <= guest_reach(len(y), num, den):
+                    gone = np.ones(len(y), dtype=bool)
+                    gone[at[shared]] = False
+                    diff.append(np.concatenate([x[~shared], y[gone]]))
+                else:
+                    diff.append(None)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(apart, pa.int32()), pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64())),
+            ], ["a", "b", "apart", "linked", "diff"])
         give_back()
 
     made = bounded(rows.select("node", "hi", "lo", "jobs", "text")).mapInArrow(make, "b long, salt int, role int, a long, items array<long>")
     dealt = made.repartition("b", "salt").sortWithinPartitions("b", "salt", "role")
-    return dealt.mapInArrow(compare, "a long, b long, apart int, linked boolean")
+    return dealt.mapInArrow(compare, "a long, b long, apart int, linked boolean, diff array<long>")
 
 
 def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, cluster: np.ndarray, weight: np.ndarray, star: np.ndarray, num: int, den: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -240,20 +268,19 @@ def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray,
 
     What is found is folded and handed on whenever HELD_PAIRS are held, so the lists of one call may make any number of them.
 
-    Rows of one cluster are joined already. Of two clusters the smaller one's rows probe. A list is sorted by
-    size, and a block of probes reads only the part whose sizes can do; the places of a shared shingle bound
+    Rows of one cluster are joined already, and rows of one star are left to their differences. Of two stars the
+    smaller one's rows probe. A list is sorted by size, and a block of probes reads only the part whose sizes can do; the places of a shared shingle bound
     what two sets can still have in common.
     """
     held, count = [], 0
     cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-    low = np.minimum.reduceat(cluster, cuts[:-1])
-    high = np.maximum.reduceat(cluster, cuts[:-1])
-    for k in np.flatnonzero(low != high).tolist():
+    mixed = [np.minimum.reduceat(c, cuts[:-1]) != np.maximum.reduceat(c, cuts[:-1]) for c in (cluster, star)]
+    for k in np.flatnonzero(mixed[0] & mixed[1]).tolist():
         rows = np.arange(cuts[k], cuts[k + 1])
         rows = rows[np.argsort(n[rows], kind="stable")]
-        rank = np.lexsort((cluster[rows], weight[rows]))
+        rank = np.lexsort((star[rows], weight[rows]))
         order = np.empty(len(rows), dtype=np.int64)
-        order[rank] = np.cumsum(np.concatenate([[0], np.diff(cluster[rows][rank]) != 0]))
+        order[rank] = np.cumsum(np.concatenate([[0], np.diff(star[rows][rank]) != 0]))
         probes = np.flatnonzero(order < order.max())
         size, place = n[rows], pos[rows]
         step = max(1, LIST_CELLS // len(rows))
@@ -262,7 +289,7 @@ def _probe(token: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray,
             a = np.searchsorted(size * den, num * size[p[0]])
             b = np.searchsorted(size * num, den * size[p[-1]], side="right")
             other = np.arange(a, b)
-            near = order[p][:, None] < order[other]
+            near = (order[p][:, None] < order[other]) & (cluster[rows][p][:, None] != cluster[rows][other])
             smaller, larger = np.minimum(size[p][:, None], size[other]), np.maximum(size[p][:, None], size[other])
             near &= den * smaller >= num * larger
             # This shingle, those after it, and those before it in both.
@@ -320,6 +347,120 @@ def _candidates(classes: DataFrame, num: int, den: int) -> DataFrame:
     return counted.where(F.col("times") >= 1 + F.floor(smaller / 40)).select("a", "star")
 
 
+def _meet(rows: dict[str, np.ndarray], num: int, den: int, one: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one star's index list whose differences may share enough, from rows sorted by star and token; with ``one``, one partner for a row in a list.
+
+    The rows that are not of the list's largest cluster look for others. A list is sorted by the size of the
+    differences, so that a block of them reads only the part whose sizes can do. Of two rows that link, that with the
+    smaller difference has a shared shingle in the first half of what it may have apart: of the others only such rows are read.
+    """
+    held, count = [], 0
+    star, token = rows["star"], rows["token"]
+    cuts = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (star[1:] != star[:-1]), [True]]))
+    mixed = np.minimum.reduceat(rows["cluster"], cuts[:-1]) != np.maximum.reduceat(rows["cluster"], cuts[:-1])
+    for k in np.flatnonzero(mixed).tolist():
+        part = {c: v[cuts[k]:cuts[k + 1]] for c, v in rows.items()}
+        order = np.lexsort((part["node"], part["d"]))
+        node, n, d, pos, cluster, member = (part[c][order] for c in ("node", "n", "d", "pos", "cluster", "member"))
+        names, inverse, times = np.unique(cluster, return_inverse=True, return_counts=True)
+        outside = inverse != int(times.argmax())
+        early = 2 * pos <= (den - num) * n // num
+        for probes, others in ((np.flatnonzero(outside & early), np.arange(len(node))), (np.flatnonzero(outside & ~early), np.flatnonzero(early))):
+            if not len(others):
+                continue
+            step = max(1, LIST_CELLS // len(others))
+            for at in range(0, len(probes), step):
+                p = probes[at:at + step]
+                most = int(((den - num) * n[p] // num).max())
+                a = np.searchsorted(d[others], d[p[0]] - most)
+                b = np.searchsorted(d[others], d[p[-1]] + most, side="right")
+                if a == b:
+                    continue
+                o = others[a:b]
+                mine = [v[p][:, None] for v in (node, n, d, pos, cluster, member, outside)]
+                near = (mine[4] != cluster[o]) & (mine[5] | member[o]).astype(bool)
+                near &= ~outside[o] | (mine[0] > node[o]) | ~early[o] | ~early[p][:, None]
+                near &= den * np.minimum(mine[1], n[o]) >= num * np.maximum(mine[1], n[o])
+                apart = most_apart(mine[1] + n[o], num, den)
+                near &= (2 * mine[3] <= mine[2] - d[o] + apart) & (2 * pos[o] <= d[o] - mine[2] + apart)
+                rest = np.minimum(mine[2] - mine[3], d[o] - pos[o]) + np.minimum(mine[3], pos[o])
+                near &= 2 * rest >= mine[2] + d[o] - apart
+                if one:
+                    i = np.flatnonzero(near.any(axis=1))
+                    j = near[i].argmax(axis=1)
+                else:
+                    i, j = np.nonzero(near)
+                if len(i):
+                    x, y = node[p[i]], node[o[j]]
+                    held.append(np.unique(np.stack([np.full(len(x), part["star"][0]), np.minimum(x, y), np.maximum(x, y)]), axis=1))
+                    count += held[-1].shape[1]
+                    if count >= HELD_PAIRS:
+                        yield np.unique(np.concatenate(held, axis=1), axis=1)
+                        held, count = [], 0
+    if held:
+        yield np.unique(np.concatenate(held, axis=1), axis=1)
+
+
+def _derived(rows: DataFrame, clusters: DataFrame, num: int, den: int, one: bool) -> DataFrame:
+    """Links ``(a, b)`` between rows ``(star, node, member, n, d, diff)`` of one star and different ``clusters``, found and checked on the differences to the leader alone.
+
+    Of two rows at least one is a member. No pair is missed for want of a shared shingle: sets of n and m shingles are similar
+    if they are at most k * (n + m) apart, k = (den - num) / (den + num). Say B is not similar to the leader C, so |Db| > k * (b + c),
+    and A is similar to B without a shared shingle, so |Da| + |Db| <= k * (a + b). Then |Da| < k * (a - c), but a - c is |Da| at most.
+    """
+    named = rows.join(clusters, "node", "left").withColumn("cluster", F.coalesce("component", "node")).drop("component")
+    mixed = named.groupBy("star").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high").select("star")
+    taking = named.join(mixed, "star", "left_semi")
+    each = taking.select("star", "node", "member", "n", "d", "cluster", F.explode("diff").alias("token"))
+    counted = each.groupBy("star", "token").agg(F.count("*").alias("f"), (F.min("cluster") < F.max("cluster")).alias("mixed"))
+    # Shingles are ordered by how many rows of the star have them apart from the leader.
+    listed = F.sort_array(F.collect_list(F.struct("f", "token", "mixed"))).alias("items")
+    ordered = each.join(counted, ["star", "token"]).groupBy("star", "node", "member", "n", "d", "cluster").agg(listed)
+    placed = ordered.select("star", "node", F.col("member").cast("long").alias("member"), "n", "d", "cluster", F.posexplode("items").alias("pos", "item"))
+    first = 2 * F.col("pos") <= F.col("d") + F.floor((den - num) * F.col("n") / num)
+    entries = placed.where(F.col("item.mixed") & first).select("star", F.col("item.token").alias("token"), "node", "n", "d", "pos", "cluster", "member")
+    names = entries.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {c: np.zeros(0, np.int64) for c in names}
+        waiting: list[dict[str, np.ndarray]] = []
+        size = 0
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, waiting, size
+            columns = {c: np.concatenate([held[c], *[w[c] for w in waiting]]) for c in names}
+            changes = np.flatnonzero((np.diff(columns["star"]) != 0) | (np.diff(columns["token"]) != 0))
+            end = len(columns["star"]) if last else int(changes[-1]) + 1 if len(changes) else 0
+            held, waiting, size = {c: v[end:] for c, v in columns.items()}, [], 0
+            if end:
+                for found in _meet({c: v[:end] for c, v in columns.items()}, num, den, one):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["star", "a", "b"])
+
+        for batch in batches:
+            waiting.append({c: batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names})
+            size += len(batch)
+            if size >= ENTRIES:
+                yield from flush(False)
+        if waiting or len(held["star"]):
+            yield from flush(True)
+        give_back()
+
+    pairs = entries.repartition("star", "token").sortWithinPartitions("star", "token").mapInArrow(run, "star long, a long, b long").distinct()
+
+    def side(name: str) -> DataFrame:
+        return taking.select("star", F.col("node").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "d", "diff")])
+
+    both = pairs.join(side("a"), ["star", "a"]).join(side("b"), ["star", "b"])
+    total = F.col("n_a") + F.col("n_b")
+    least = F.ceil(total * num / (num + den)).cast("long")
+    return both.where(F.col("d_a") + F.col("d_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b")) <= total - 2 * least).select("a", "b")
+
+
+def _edges(clusters: DataFrame) -> DataFrame:
+    """One link for each node of known ``(node, component)``, in place of all that joined them."""
+    return clusters.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for each row of ``(doc_id, text)``; other columns are ignored.
 
@@ -339,42 +480,55 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     anchored = classes.select("node", "n", "rare", "head", F.posexplode(F.array(F.col("head")[0], F.col("anchor"))).alias("which", "anchor"))
     first = F.min(F.struct("rare", "node", "n", "head")).alias("first")
     leaders = anchored.groupBy("which", "anchor").agg(first, F.count("*").alias("rows")).where("rows > 1").select("which", "anchor", "first")
-    met = anchored.join(leaders, ["which", "anchor"]).where(F.col("node") != F.col("first.node"))
-    fits = F.least("n", "first.n") * den >= F.greatest("n", "first.n") * num
-    alike = F.size(F.array_intersect("head", "first.head")) * 2 >= F.least(F.size("head"), F.size("first.head"))
-    pairs = cut(met.where(fits & alike).select(F.col("node").alias("a"), F.col("first.node").alias("b")).distinct())
+    # The two leaders of one family become one: a leader that meets a better one in its other group gives its rows to it.
+    leaders = cut(leaders)
+    meeting = anchored.join(leaders.select(F.col("first.node").alias("node")).distinct(), "node", "left_semi").join(leaders, ["which", "anchor"])
+    better = meeting.groupBy("node").agg(F.min("first").alias("best"))
+    leaders = leaders.join(better, F.col("first.node") == F.col("node")).select("which", "anchor", "first", "best")
+
+    def suits(one: str) -> Column:
+        fits = F.least("n", f"{one}.n") * den >= F.greatest("n", f"{one}.n") * num
+        alike = F.size(F.array_intersect("head", f"{one}.head")) * 2 >= F.least(F.size("head"), F.size(f"{one}.head"))
+        return (F.col("node") != F.col(f"{one}.node")) & fits & alike
+
+    met = anchored.join(leaders, ["which", "anchor"])
+    chosen = F.when(suits("best"), F.col("best.node")).when(suits("first"), F.col("first.node"))
+    pairs = cut(met.select(F.col("node").alias("a"), chosen.alias("b")).where("b IS NOT NULL").distinct())
     checked = cut(_verify(docs, classes, pairs, words, num, den))
     links = checked.where("linked").select("a", "b")
 
-    # Every set is in one star: a leader's own, or the nearest leader's that it is similar to.
-    leading = links.select(F.col("b").alias("node")).distinct()
-    joined = checked.where("linked").join(leading, F.col("a") == F.col("node"), "left_anti")
-    stars = cut(joined.groupBy(F.col("a").alias("node")).agg(F.min(F.struct("apart", "b")).alias("s")).select("node", F.col("s.b").alias("star"), F.col("s.apart").alias("apart")))
+    # Every set is in one star: a leader's own, or the nearest leader's that it is close to.
+    size = classes.select("node", "n")
+    reach = LOOSE * (2 * F.col("n") - 2 * F.ceil(2 * F.col("n") * num / (num + den)))  # as star_reach
+    close = checked.join(size.withColumnRenamed("node", "b"), "b").where(F.col("linked") | (F.col("apart") <= reach))
+    leading = close.select(F.col("b").alias("node")).distinct()
+    joined = close.join(leading, F.col("a") == F.col("node"), "left_anti")
+    nearest = F.min(F.struct("apart", "b")).alias("s")
+    stars = cut(joined.groupBy(F.col("a").alias("node")).agg(nearest).select("node", F.col("s.b").alias("star")))
+    weights = stars.groupBy("star").agg(F.count("*").alias("weight"))
     clusters = components(links)
-    sizes = clusters.groupBy(F.col("component").alias("cluster")).agg(F.count("*").alias("weight"))
-    placed = cut(clusters.select("node", F.col("component").alias("cluster")).join(sizes, "cluster").join(stars, "node", "left"))
-    known = classes.join(_if_small(placed), "node", "left").select(
-        "node", "n", "prefix", F.coalesce("cluster", "node").alias("cluster"), F.coalesce("weight", F.lit(1)).alias("weight"),
-        F.coalesce("star", "node").alias("star"),
+    known = classes.select("node", "n", "prefix").join(stars, "node", "left").withColumn("star", F.coalesce("star", "node"))
+    known = known.join(weights, "star", "left").join(clusters, "node", "left").select(
+        "node", "n", "prefix", F.coalesce("component", "node").alias("cluster"), F.coalesce("weight", F.lit(0)).alias("weight"), "star",
     )
 
     # A set against the leaders of stars of other clusters.
     met = cut(_candidates(known, num, den).select("a", F.col("star").alias("b")))
     against = cut(_verify(docs, classes, met, words, num, den))
-    links = links.union(against.where("linked").select("a", "b"))
-
-    # Members of a star whose leader is not similar: only those far enough from it can be.
-    size = classes.select("node", "n")
-    members = stars.join(size, "node").select(F.col("star").alias("b"), F.col("node").alias("y"), F.col("apart").alias("out"), F.col("n").alias("n_y"))
-    asked = against.where("NOT linked").join(size.withColumnRenamed("node", "a"), "a")
-    far = asked.join(members, "b").where(F.least("n", "n_y") * den >= F.greatest("n", "n_y") * num)
-    both = F.col("n") + F.col("n_y")
-    allowed = both - 2 * F.ceil(both * num / (num + den)).cast("long")
-    rest = cut(far.where(F.col("apart") - F.col("out") <= allowed).select("a", F.col("y").alias("b")).distinct())
-    if not rest.isEmpty():
-        links = links.union(_verify(docs, classes, rest, words, num, den).where("linked").select("a", "b"))
-
-    named = classes.select("node", "hi", "lo", "least").join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    clusters = components(_edges(clusters).union(against.where("linked").select("a", "b")))
+
+    # The members of a star, and the sets that met its leader and are not similar to it, by their differences to the leader.
+    members = checked.join(stars, (F.col("a") == F.col("node")) & (F.col("b") == F.col("star"))).select("star", "node", F.lit(True).alias("member"), "apart", "diff")
+    led = stars.select(F.col("star").alias("b")).distinct()
+    guests = against.where("NOT linked AND diff IS NOT NULL").join(led, "b", "left_semi").select(F.col("b").alias("star"), F.col("a").alias("node"), F.lit(False).alias("member"), "apart", "diff")
+    rows = cut(members.unionByName(guests).join(size, "node").select("star", "node", "member", F.col("n").cast("long").alias("n"), F.col("apart").cast("long").alias("d"), "diff"))
+    # One partner for each row and list joins most of what links; then all pairs between the clusters that are left.
+    for one in (True, False):
+        found = cut(_derived(rows, clusters, num, den, one))
+        if not found.isEmpty():
+            clusters = components(_edges(clusters).union(found))
+
+    named = classes.select("node", "hi", "lo", "least").join(clusters, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = named.groupBy("component").agg(F.min("least").alias("component_id"))
     names = named.join(ids, "component").select("hi", "lo", "component_id")
     linked = full.select("doc_id", "n", "hi", "lo").join(names, ["hi", "lo"]).select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")

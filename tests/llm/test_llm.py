@@ -4,6 +4,7 @@ import base64
 import hashlib
 import os
 import random
+import time
 import re
 import sys
 import zlib
@@ -351,6 +352,18 @@ def test_archives_come_back(spark):
 # 9
 
 
+def test_a_long_page_of_separators():
+    """20 MB of parts, read in time that grows with them."""
+    block = "\r\n\r\n" * 5_000_000
+    header = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nContent-Length: {len(block)}"
+    empty = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:2>\r\nContent-Length: 0"
+    archive = "".join(x + "\r\n\r\n" for x in (header, block, empty, ""))
+    began = time.monotonic()
+    got = [(r[0], r[-1]) for r in warc.parse(iter(archive.split("\r\n\r\n")[:-1]))]
+    assert got == [("1", block), ("2", "")]
+    assert time.monotonic() - began < 60
+
+
 def test_toxicity_of_rows_not_learned_from(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -420,6 +433,52 @@ def test_components_of_chains_and_shared_passages(spark, words, num, den):
     assert got == brute_components(rows, words, num, den)
 
 
+def near_copies(seed: int, families: int, copies: int, least: int, most: int) -> list[tuple[int, str]]:
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    rows = []
+    for _ in range(families):
+        base = rng.choices(vocabulary, k=300)
+        for _ in range(copies):
+            text = list(base)
+            for at in rng.sample(range(300), rng.randint(least, most)):
+                text[at] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("words,num,den,most", [(3, 9, 10, 6), (3, 90, 100, 12), (5, 8, 10, 16), (1, 1, 2, 150)])
+def test_components_of_near_copies_around_the_threshold(spark, words, num, den, most):
+    rows = near_copies(most, 3, 60, 2, most)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in shingle_join.link(spark.createDataFrame(rows, "doc_id long, text string"), words, num, den).collect()}
+    assert got == brute_components(rows, words, num, den)
+
+
+def test_work_on_near_copies_grows_with_their_number(spark, monkeypatch):
+    """Pairs that whole sets or differences are compared for, of copies that mostly are not similar to each other."""
+    seen = []
+    verify, derived = shingle_join._verify, shingle_join._derived
+
+    def counted_verify(docs, classes, pairs, *rest):
+        seen.append(pairs.count())
+        return verify(docs, classes, pairs, *rest)
+
+    def counted_derived(*args):
+        found = derived(*args)
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(shingle_join, "_verify", counted_verify)
+    monkeypatch.setattr(shingle_join, "_derived", counted_derived)
+    work = []
+    for copies in (300, 1200):
+        seen.clear()
+        rows = near_copies(3, 1, copies, 2, 6)
+        assert shingle_join.link(spark.createDataFrame(rows, "doc_id long, text string"), 3, 9, 10).count() == copies
+        work.append(sum(seen))
+    assert work[0] < 2 * 300 and work[1] < 2 * 1200
+
+
 def test_join_of_odd_rows(spark, odd):
     got = Counter(tuple(r) for r in shingle_join.link(odd, 5).collect())
     assert got == Counter({(1, 0, 1): 1, (2, 0, 2): 1, (3, 1, 3): 1, (4, 1, 4): 2, (None, 1, 7): 1, (7, 1, 7): 1, (8, 1, 8): 1, (9, 1, 9): 1})
