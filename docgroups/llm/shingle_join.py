@@ -24,8 +24,8 @@ from docgroups.llm.graph import components
 from docgroups.session import broadcast_if_small, cut
 
 HEAD = 12  # smallest shingles that tell whether two sets are worth a comparison
-HOT_DOCUMENTS = 16  # a shingle in as many documents is ordered behind others
-HOT_TERMS = 200_000  # so many of them are known to every task; more only cost time
+COUNTERS = 1 << 22  # of the sketch that counts shingles
+BLOCK = 1 << 14  # counters that are summed as one row
 LOOSE = 3  # a star takes sets in so many times the distance at which sets of its leader's size link
 BROADCAST_BYTES = 32 << 20
 BATCH_ROWS = 1000
@@ -89,11 +89,6 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return min(n, n - -(-num * n // den) + shared_needed(n))
 
 
-def counted_size(n: int, num: int, den: int) -> int:
-    """How many of a set's smallest shingles are counted: those that a prefix can hold if a part of it is hot."""
-    return min(n, prefix_size(n, num, den) + n // 8)
-
-
 def least_overlap(a, b, num: int, den: int):
     """Fewest common shingles of similar sets of the sizes ``a`` and ``b``."""
     return -(-num * (a + b) // (num + den))
@@ -120,40 +115,66 @@ def _key(found: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
-def hot_shingles(docs: DataFrame, words: int, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many documents hold among those that can be in a prefix, and in how many, from all documents.
+def counter_of(shingles: np.ndarray) -> np.ndarray:
+    """The place of each shingle in the sketch."""
+    return (chars.mix(shingles.view(np.uint64) ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(COUNTERS)).astype(np.int64)
+
 
-    Any choice gives the same links; this one keeps long lists out of the prefixes.
+def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
+    """In how many rows the shingles of each of COUNTERS classes are, from all shingles of all rows.
+
+    The sketch has one size for any input, so no shingle is unknown. Any counts give the same links; these keep long lists out of the prefixes.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = np.zeros(COUNTERS, dtype=np.uint32)
         for batch in batches:
             for at in range(0, len(batch), BATCH_ROWS):
-                texts = batch.slice(at, BATCH_ROWS).column("text").to_pylist()
-                heads = [u[:counted_size(len(u), num, den)].copy() for u in shingle_sets(texts, words) if len(u)]
-                if heads:
-                    token, n = np.unique(np.concatenate(heads), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
+                for u in shingle_sets(batch.slice(at, BATCH_ROWS).column("text").to_pylist(), words):
+                    np.add.at(sketch, counter_of(u), np.uint32(1))
+        for first in range(0, COUNTERS, BLOCK):
+            part = sketch[first:first + BLOCK]
+            if part.any():
+                packed = pa.compress(part.tobytes(), codec="zstd", asbytes=True)
+                yield pa.RecordBatch.from_arrays([pa.array([first // BLOCK], pa.int32()), pa.array([packed], pa.binary())], ["block", "counts"])
         give_back()
 
-    counted = bounded(docs.select("text")).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = counted.where(F.col("n") >= HOT_DOCUMENTS).orderBy(F.desc("n"), "token").limit(HOT_TERMS).toPandas().sort_values("token")
-    return top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
-
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["block", "counts"])
 
-def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``(doc_id, n, hi, lo, rare, anchor, head, prefix)``: size and key of each row's set, the share of shingles that few others hold, its minimum in another order, its smallest and its rarest shingles."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+        block, total = None, np.zeros(BLOCK, dtype=np.int64)
+        for batch in batches:
+            for number, packed in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
+                if block is not None and number != block:
+                    yield row()
+                    total = np.zeros(BLOCK, dtype=np.int64)
+                block = number
+                total += np.frombuffer(pa.decompress(packed, decompressed_size=4 * BLOCK, codec="zstd", asbytes=True), dtype=np.uint32)
+        if block is not None:
+            yield row()
+
+    parts = bounded(docs.select("text")).mapInArrow(count, "block int, counts binary")
+    sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, "block int, counts binary")
+    counts = np.zeros(COUNTERS, dtype=np.float32)
+    for block, part in sums.collect():  # COUNTERS numbers, whatever the input
+        counts[block * BLOCK:(block + 1) * BLOCK] = np.frombuffer(part, dtype=np.float32)
+    return counts
+
+
+def signatures(docs: DataFrame, words: int, num: int, den: int, counts: np.ndarray) -> DataFrame:
+    """``(doc_id, n, hi, lo, rare, anchor, head, prefix)``: size and key of each row's set, the less the more common its shingles are, its minimum in another order, its smallest and its rarest shingles."""
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, counts = shared.value
+        counts = shared.value
         for batch in (whole.slice(at, BATCH_ROWS) for whole in batches for at in range(0, len(whole), BATCH_ROWS)):
             n, keys, rare, anchors, heads, prefixes = [], [], [], [], [], []
             for u in shingle_sets(batch.column("text").to_pylist(), words):
                 n.append(len(u))
                 if not len(u):
                     keys.append((0, 0))
-                    rare.append(0)
+                    rare.append(0.0)
                     anchors.append(0)
                     heads.append([])
                     prefixes.append([])
@@ -162,23 +183,18 @@ def signatures(docs: DataFrame, words: int, num: int, den: int, hot: tuple[np.nd
                 other = chars.mix(u.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D))
                 anchors.append(int(other.min().view(np.int64)))
                 heads.append(u[:HEAD])
-                counted = counted_size(len(u), num, den)
-                rare.append(1000)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, u), len(tokens) - 1)
-                    often = np.where(tokens[at] == u, counts[at], 0)
-                    rare[-1] = int(1000 * (often[:counted] == 0).mean())
-                    u = u[np.lexsort((u, often))]
-                prefixes.append(u[:prefix_size(len(u), num, den)])
+                often = counts[counter_of(u)]
+                rare.append(-float(np.log2(1 + often.astype(np.float64)).mean()))
+                prefixes.append(u[np.lexsort((u, often))[:prefix_size(len(u), num, den)]])
             hi, lo = zip(*keys) if keys else ((), ())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-                pa.array(rare, pa.int32()), pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
+                pa.array(rare, pa.float64()), pa.array(anchors, pa.int64()), pa.array(heads, pa.list_(pa.int64())), pa.array(prefixes, pa.list_(pa.int64())),
             ], ["doc_id", "n", "hi", "lo", "rare", "anchor", "head", "prefix"])
         give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return bounded(docs.select("doc_id", "text")).mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare int, anchor long, head array<long>, prefix array<long>")
+    return bounded(docs.select("doc_id", "text")).mapInArrow(sign, f"doc_id {kind}, n int, hi long, lo long, rare double, anchor long, head array<long>, prefix array<long>")
 
 
 def _if_small(df: DataFrame) -> DataFrame:
@@ -468,8 +484,7 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     component is named by the smallest id that links reach, itself included, null ids left out. A row whose set is empty links
     with nothing. Rows with equal sets, repeated rows and ids among them, are one node.
     """
-    hot = hot_shingles(docs, words, num, den)
-    signed = cut(signatures(docs, words, num, den, hot))
+    signed = cut(signatures(docs, words, num, den, shingle_counts(docs, words)))
     full = signed.where("n > 0")
     grouped = full.groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), *[F.first(c).alias(c) for c in ("n", "rare", "anchor", "head", "prefix")])
     classes = cut(grouped.select(F.monotonically_increasing_id().alias("node"), "*"))
