@@ -532,10 +532,10 @@ def link(docs: DataFrame, words: int = 5, num: int = 8, den: int = 10) -> DataFr
     against = cut(_verify(docs, classes, met, words, num, den))
     clusters = components(_edges(clusters).union(against.where("linked").select("a", "b")))
 
-    # The members of a star, and the sets that met its leader and are not similar to it, by their differences to the leader.
+    # The members of a star, and the sets of other stars that met its leader, similar to it or not, by their differences to the leader.
     members = checked.join(stars, (F.col("a") == F.col("node")) & (F.col("b") == F.col("star"))).select("star", "node", F.lit(True).alias("member"), "apart", "diff")
     led = stars.select(F.col("star").alias("b")).distinct()
-    guests = against.where("NOT linked AND diff IS NOT NULL").join(led, "b", "left_semi").select(F.col("b").alias("star"), F.col("a").alias("node"), F.lit(False).alias("member"), "apart", "diff")
+    guests = against.where("diff IS NOT NULL").join(led, "b", "left_semi").select(F.col("b").alias("star"), F.col("a").alias("node"), F.lit(False).alias("member"), "apart", "diff")
     rows = cut(members.unionByName(guests).join(size, "node").select("star", "node", "member", F.col("n").cast("long").alias("n"), F.col("apart").cast("long").alias("d"), "diff"))
     # One partner for each row and list joins most of what links; then all pairs between the clusters that are left.
     for one in (True, False):
