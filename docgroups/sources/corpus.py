@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgroups.functions.text import clean_post, known_text
 from docgroups.operators.labels import encode_labels
+from docgroups.session import cut
 
 # Key, text and truth columns of the known tables.
 TABLES = {
     "documents": (["doc_id"], "text", "lang"),
     "conversations": (["conv_id", "turn"], "text", "role"),
 }
+# The folder of rows without a value, and the characters a folder's name cannot hold, as Spark's writer has them.
+NO_GROUP = "__HIVE_DEFAULT_PARTITION__"
+UNSAFE = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
 def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -39,11 +49,42 @@ def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
     return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name")
 
 
+def write_posts(rows: DataFrame, group: str, path: str) -> None:
+    """One file per row, ``path/<group>=<value>/<post>``: its ``text`` and a line feed. Rows without a group go to Spark's folder for these.
+
+    Each task writes its posts itself where Arrow knows the file system: Spark's writer opens a new Hadoop stream and commits each file,
+    tens of milliseconds a post. Names follow the row's place, so a task that is run again writes the same files.
+    """
+    texts = rows.select(F.coalesce(F.nullif(F.col(group).cast("string"), F.lit("")), F.lit(NO_GROUP)).alias("group"), known_text(F.col("text")).alias("text"))
+    uri = path if "://" in path else path.removeprefix("file:")
+    try:
+        fs.FileSystem.from_uri(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        texts.withColumnRenamed("group", group).write.partitionBy(group).option("maxRecordsPerFile", 1).text(path)
+        return
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(uri)
+        part, n, made = TaskContext.get().partitionId(), 0, set()
+        for batch in batches:
+            for value, text in zip(batch["group"].to_pylist(), batch["text"].to_pylist()):
+                folder = f"{root}/{group}={UNSAFE.sub(lambda m: f'%{ord(m[0]):02X}', value)}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/post-{part:05d}-{n}.txt", compression=None) as out:
+                    out.write(text.encode() + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    texts.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+
+
 def read_posts(spark: SparkSession, path: str, clean: bool = True, depth: int = 1) -> DataFrame:
     """One post per file, the folder name being its group: ``path/<group>/<post>``.
 
     The group is the folder ``depth`` levels above the file; of a folder ``name=value`` it is the value. ``file`` is the
-    whole path, which no two posts share.
+    whole path, which no two posts share. The files, however many, are opened once, and their texts kept in a table.
     """
     files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     parts = F.split(F.col("_metadata.file_path"), "/")
@@ -54,7 +95,7 @@ def read_posts(spark: SparkSession, path: str, clean: bool = True, depth: int =
         F.regexp_replace(F.element_at(parts, -1 - depth), "^[^=]*=", "").alias("label_name"),
         F.col("_metadata.file_path").alias("file"),
     )
-    return encode_labels(rows, "label_name").select("doc_id", "text", "label", "label_name", "file")
+    return encode_labels(cut(rows), "label_name").select("doc_id", "text", "label", "label_name", "file")
 
 
 def read_table(spark: SparkSession, folder: str, name: str = "documents", labelled: bool = True) -> DataFrame:
