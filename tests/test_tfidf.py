@@ -81,3 +81,12 @@ def test_texts_of_many_files_are_not_shuffled(spark, tmp_path):
     rows.repartition(16).write.parquet(str(tmp_path / "docs"))
     plan = tfidf.packed_counts(spark.read.parquet(str(tmp_path / "docs")))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_totals_without_sorting(spark):
+    corpus = spark.createDataFrame([(1, "bb aa bb"), (1, "aa"), (None, "bb aa"), (4, None)], "doc_id long, text string")
+    totals = tfidf.term_totals(corpus, (1, 2))
+    assert {r["term"]: r["total"] for r in totals.collect()} == {"aa": 3, "bb": 3, "bb aa": 2, "aa bb": 1}
+    # A comparison expression for every pair of terms took most of the time of counting.
+    for plan in (totals, tfidf.packed_counts(corpus)):
+        assert "array_sort(" not in plan._jdf.queryExecution().optimizedPlan().toString()
