@@ -78,3 +78,12 @@ def test_word_vectors(spark):
     subwords, _ = wordvec.build_fasttext(docs, vector_size=8, epochs=1)
     unseen = subwords.where("id = 9").first()["vec"]
     assert len(unseen) == 8 and any(unseen)
+
+
+def test_parts_of_token_counts_follow_the_text(spark, monkeypatch):
+    monkeypatch.setattr(wordvec, "PART_BYTES", 100)
+    docs = spark.createDataFrame([(i, "ab " * 20) for i in range(200)] + [(0, "ab")], "doc_id long, text string")
+    counts = wordvec.token_counts(docs)
+    # 12,002 bytes; one part before, whatever the text, as Spark joined parts up to its own size.
+    assert counts.rdd.getNumPartitions() == 121
+    assert {r["doc_id"]: r["tf"] for r in counts.collect()} == {0: 21, **{i: 20 for i in range(1, 200)}}
