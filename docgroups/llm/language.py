@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
-from docgroups.llm.batches import bounded
+from docgroups.llm.batches import bounded, give_back
 
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 3000
@@ -92,6 +92,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
                 np.add.at(total, (lang, BUCKETS + _script(points, starts)), ends - starts)
             lang, slot = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.int32()), pa.array(slot, pa.int32()), pa.array(total[lang, slot])], ["lang", "slot", "n"])
+        give_back()
 
     rows = bounded(sample.select("text", code[F.col("lang")].alias("code"))).mapInArrow(count, "lang int, slot int, n long")
     found = rows.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
@@ -224,6 +225,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) ->
                 [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(shares, pa.float64()), pa.array(spans, SPAN_TYPE)],
                 ["doc_id", "lang_pred", "score", "spans"],
             )
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(docs.select("doc_id", "text")).mapInArrow(label, f"doc_id {kind}, lang_pred string, score double, spans {SPANS}")
@@ -237,5 +239,6 @@ def keep_identified(docs: DataFrame, model: Model, penalty: float = SWITCH_PENAL
         for batch in batches:
             labels = [x for part in _label(shared.value, batch.column("text").to_pylist(), penalty) for x in part[0]]
             yield batch.filter(pa.array([x != UNDETERMINED for x in labels], pa.bool_()))
+        give_back()
 
     return bounded(docs).mapInArrow(sift, docs.schema)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgroups.llm import chars
-from docgroups.llm.batches import bounded
+from docgroups.llm.batches import bounded, give_back
 
 SAMPLE_ROWS = 12_000
 FOLDS = 5
@@ -154,6 +154,7 @@ def choose_terms(rows: DataFrame, n_categories: int, n_terms: int = TERMS) -> np
                     [pa.array(term), pa.array(np.bincount(place, minlength=len(term))), *per],
                     ["term", "n", *[f"y{c}" for c in range(n_categories)]],
                 )
+        give_back()
 
     shape = ", ".join(["term long", "n long", *[f"y{c} long" for c in range(n_categories)]])
     totals = rows.agg(F.count("*").alias("n"), *[F.sum(F.col("y")[c]).alias(f"y{c}") for c in range(n_categories)]).first()
@@ -184,6 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
     """
     n = len(categories)
     table = sample(docs, labels, categories, rows).persist()
+    held = [table]
     terms = choose_terms(table, n)
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,10 +198,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
                 [batch.column("doc_id"), batch.column("fold"), batch.column("y"), pa.array(hits, pa.list_(pa.int64())), pa.array(style, pa.list_(pa.float64()))],
                 ["doc_id", "fold", "y", "hits", "style"],
             )
+        give_back()
 
     kind = table.schema["doc_id"].dataType.simpleString()
     rows_in = bounded(table).mapInArrow(known, f"doc_id {kind}, fold int, y array<int>, hits array<long>, style array<double>")
     rows_in = rows_in.withColumn("earlier", F.array().cast("array<double>")).persist()
+    held.append(rows_in)
     weights = []
 
     def fitting(c: int):
@@ -210,10 +214,12 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
             y = np.stack(part["y"])[:, c].astype(float)
             inner = (part["fold"] != left_out).to_numpy()
             w = fit(x[inner], y[inner])
+            outer, p = part["doc_id"][~inner], _sigmoid(x[~inner] @ w)
+            del part, x
+            give_back()
             if left_out < 0:
                 return pd.DataFrame({"doc_id": [None], "w": [w.tolist()], "p": [None]})
-            outer = part[~inner]
-            return pd.DataFrame({"doc_id": outer["doc_id"], "w": [None] * len(outer), "p": _sigmoid(x[~inner] @ w)})
+            return pd.DataFrame({"doc_id": outer, "w": [None] * len(outer), "p": p})
 
         return fit_one
 
@@ -221,11 +227,15 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], row
         tasks = F.explode(F.array(*[F.lit(i) for i in range(-1, FOLDS if c + 1 < n else 0)])).alias("task")
         shape = f"doc_id {kind}, w array<double>, p double"
         fits = rows_in.select("*", tasks).groupBy("task").applyInPandas(fitting(c), shape).persist()
+        held.append(fits)
         kept = fits.where("w IS NOT NULL").select("w").collect()
         weights.append(np.array(kept[0]["w"]) if kept else _constant(len(terms), c))
         if c + 1 < n:
             scored = fits.where("w IS NULL").groupBy("doc_id").agg(F.max("p").alias("p"))
             rows_in = rows_in.join(scored, "doc_id").withColumn("earlier", F.concat("earlier", F.array("p"))).drop("p").persist()
+            held.append(rows_in)
+    for kept_rows in held:
+        kept_rows.unpersist()
     return Model(list(categories), terms, weights)
 
 
@@ -257,6 +267,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             p = _score(shared.value, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(p[:, i]) for i in range(len(names))]], ["doc_id", *names])
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(docs.select("doc_id", "text")).mapInArrow(score, ", ".join([f"doc_id {kind}", *[f"{x} double" for x in names]]))
@@ -270,5 +281,6 @@ def drop_category(docs: DataFrame, model: Model, category: str, threshold: float
         for batch in batches:
             p = _score(shared.value, batch.column("text").to_pylist())[:, place]
             yield batch.filter(pa.array(p < threshold, pa.bool_()))
+        give_back()
 
     return bounded(docs).mapInArrow(sift, docs.schema)
