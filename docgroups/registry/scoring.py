@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docgroups.functions.arrays import matrix
 from docgroups.operators import kselect, scores, silhouette, tables
 from docgroups.operators.kmeans import label_sweep
 from docgroups.operators.reduce import first_components
@@ -71,6 +74,18 @@ results AS (SELECT CASE WHEN n_components <= 16 THEN 'short' ELSE 'long' END AS
   CASE WHEN rule = 'ceiling' THEN 'labels' ELSE 'kmeans' END AS algorithm, n_components, rule AS k_method, k,
   nmi, ari, ami, silhouette FROM chosen JOIN sweep USING (n_components, k))"""
 
+def _gaps(centres: list[np.ndarray]):
+    """Per batch and k of ``KS``: the summed squared distance of rows to the centre of their label."""
+    def measure(batches):
+        for t in batches:
+            if t.num_rows:
+                x, labels = matrix(t["vec"]), matrix(t["labels"])
+                cost = [float(((x - c[labels[:, g]]) ** 2).sum()) for g, c in enumerate(centres)]
+                yield pa.RecordBatch.from_pydict({"k": pa.array(KS, pa.int32()), "inertia": cost})
+
+    return measure
+
+
 def _build_sweep(spark, d) -> DataFrame:
     """One Lloyd step from coarser and coarser classes, at several prefix sizes of the vectors."""
     rows = cut(embeddings(spark, d))
@@ -81,18 +96,15 @@ def _build_sweep(spark, d) -> DataFrame:
         sizes, sums = silhouette.group_sums(start, KS)
         fits = {(size, k): (s / n[:, None], 0.0) for k, n, s in zip(KS, sizes, sums)}
         grouped = cut(label_sweep(rows, fits, size, KS))
-        long = sweeps.long_labels(grouped, KS, size)
+        long = sweeps.long_labels(grouped, KS, size, rows)
         means = silhouette.mean_silhouettes(grouped, KS, "cosine")
         counts = F.array(*[F.lit(k) for k in KS])
         means = means.select(F.get(counts, F.col("g")).alias("k"), "silhouette")
-        centres = spark.createDataFrame(
-            [(k, c, centre.tolist()) for k in KS for c, centre in enumerate(fits[(size, k)][0])],
-            "k int, cluster int, centre array<double>",
-        )
-        near = long.join(F.broadcast(centres), ["k", "cluster"]).join(grouped.select("id", "vec"), "id")
-        gap = F.aggregate(F.zip_with("vec", "centre", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda t, x: t + x)
-        cost = near.groupBy("n_components", "k").agg(F.sum(gap).alias("inertia"))
-        scored = scores.score_groups(long.join(rows.select("id", "label"), "id"), keys=("n_components", "k"))
+        # Labels of all k meet their row's vector at once, not a centre for each k.
+        near = grouped.select("id", "labels").join(grouped.select("id", "vec"), "id").select("labels", "vec")
+        cost = near.mapInArrow(_gaps([fits[(size, k)][0] for k in KS]), "k int, inertia double")
+        cost = cost.groupBy(F.lit(size).alias("n_components"), "k").agg(F.sum("inertia").alias("inertia"))
+        scored = scores.score_groups(long, keys=("n_components", "k"))
         parts.append(cost.join(means, "k").join(scored.select("k", "nmi", "ari", "ami"), "k").select(
             "n_components", "k", "inertia", "silhouette", "nmi", "ari", "ami"
         ))

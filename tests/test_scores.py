@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,3 +114,12 @@ def test_best_row_of_every_variant_and_size(spark):
     table = spark.createDataFrame(rows, "variant string, n_components int, k int, nmi double")
     got = best_per_variant(table).select("variant", "n_components", "k", "nmi").collect()
     assert sorted(map(tuple, got)) == [("a", 5, 3, 0.4), ("a", 9, 2, 0.2), ("b", 5, 7, 0.0)]
+
+
+def test_gaps_of_all_groupings_in_one_scan(spark):
+    from docgroups.registry import scoring
+
+    rows = spark.createDataFrame([([1.0, 0.0], [0] * 9), ([0.0, 1.0], [1] * 9), ([0.0, 2.0], [1] * 9)], "vec array<double>, labels array<int>")
+    centres = [np.array([[1.0, 0.0], [0.0, float(g)]]) for g in range(9)]
+    found = rows.mapInArrow(scoring._gaps(centres), "k int, inertia double").groupBy("k").sum("inertia").collect()
+    assert {r[0]: r[1] for r in found} == {k: (1.0 - g) ** 2 + (2.0 - g) ** 2 for g, k in enumerate(scoring.KS)}
