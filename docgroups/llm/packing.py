@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,7 +33,10 @@ LONG_BONUS = 0.05
 WEIGHT_SHARE = 0.01
 RANK_ROWS = 1_000
 CACHE_ENTRIES = 400_000
-UNSAFE = re.compile(r"\s | \s|^ | $|\0")
+CACHE_IDS = 4_000_000
+SLICE = 1_000
+BLANKS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # all that Unicode calls white space
+UNSAFE = rf"{BLANKS} | {BLANKS}|^ | $|\x00"
 
 
 class Encoder:
@@ -47,8 +51,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        added = [re.escape(token.content) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.unsafe = "|".join([UNSAFE, *added])
+        self.forget()
         # In a byte-level vocabulary each character of a token stands for one byte.
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), dtype=np.int64)
         for token, i in self.tokenizer.get_vocab().items():
@@ -58,30 +63,81 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
 
-    def learn(self, cuts: list[str]) -> None:
-        """Encode cuts that begin with a blank as one text and part its ids where the bytes of a cut end."""
-        ids = self.tokenizer.encode_batch_fast(["".join(cuts)], add_special_tokens=False)[0].ids
-        ends = np.cumsum(self.sizes[ids])
-        at = [0, *(np.searchsorted(ends, np.cumsum([len(x.encode()) for x in cuts])) + 1).tolist()]
-        blob = struct.pack(f"<{len(ids)}I", *ids)
-        self.known.update((x, blob[4 * a:4 * b]) for x, a, b in zip(cuts, at, at[1:]))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
-        known = self.known
-        cuts = [[text] if UNSAFE.search(text) or any(a in text for a in self.added) else text.replace(" ", "\0 ").split("\0") for text in texts]
-        heads = list({cut[0] for cut in cuts}.difference(known))
-        known.update(zip(heads, self.ids(heads)))
-        fresh = list({x for cut in cuts for x in cut}.difference(known))
+    def forget(self) -> None:
+        """Drop what was learned: a worker's memory is for its next task."""
+        self.heads: dict[str, int] = {}  # numbers of cuts as they are
+        self.known = pa.array([], pa.string())  # cuts with a blank before them
+        self.numbers = np.zeros(0, dtype=np.int64)  # and their numbers
+        self.pool = np.zeros(0, dtype="<u4")  # ids of all cuts by number
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Keep the ids of more cuts, ``sizes`` each, and number them."""
+        numbers = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(sizes))
+        self.pool = np.concatenate([self.pool, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return numbers
+
+    def learn(self, cuts: pa.Array) -> None:
+        """Encode cuts, a blank before each, as one text and part its ids where the bytes of a cut end."""
+        text = " " + pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(cuts)], pa.int32()), cuts), " ")[0].as_py()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        bounds = np.cumsum(np.array(pc.binary_length(cuts), dtype=np.int64) + 1)
+        at = np.searchsorted(np.cumsum(self.sizes[ids]), bounds) + 1
+        self.known = pa.concat_arrays([self.known, cuts])
+        self.numbers = np.concatenate([self.numbers, self.add(ids, np.diff(at, prepend=0))])
+
+    def of_words(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct cuts with a blank before them."""
+        fresh = words.filter(pc.is_null(pc.index_in(words, value_set=self.known)))
         for at in range(0, len(fresh), 20_000):
-            self.learn(fresh[at:at + 20_000])
-        out = [b"".join(map(known.__getitem__, cut)) for cut in cuts]
-        for cut in cuts:
-            if len(cut) == 1 and len(cut[0]) > 64:
-                known.pop(cut[0], None)
+            self.learn(fresh.slice(at, 20_000))
+        return self.numbers[np.array(pc.index_in(words, value_set=self.known), dtype=np.int64)]
+
+    def of_heads(self, heads: list[str]) -> list[int]:
+        """Numbers of cuts as they are; long ones are whole texts and not kept."""
+        fresh = [x for x in dict.fromkeys(heads) if x not in self.heads]
+        if fresh:
+            found = self.ids(fresh)
+            numbers = self.add(np.frombuffer(b"".join(found), dtype="<u4"), np.array([len(x) // 4 for x in found], dtype=np.int64))
+            self.heads.update(zip(fresh, numbers.tolist()))
+        out = [self.heads[x] for x in heads]
+        for text in fresh:
+            if len(text) > 64:
+                del self.heads[text]
         return out
 
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, none null, one after the other, and where those of each begin, and the end of all.
+
+        Arrow cuts the texts and tells the cuts apart, so Python meets no word on its own.
+        """
+        if len(self.ends) > CACHE_ENTRIES or len(self.pool) > CACHE_IDS:
+            self.forget()
+        whole = pc.match_substring_regex(texts, self.unsafe)
+        cuts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        at = np.array(cuts.offsets, dtype=np.int64)
+        at -= at[0]
+        words = cuts.flatten().dictionary_encode()
+        place, words = np.array(words.indices, dtype=np.int64), words.dictionary
+        first = at[:-1]
+        later = np.ones(len(place), dtype=bool)
+        later[first] = False
+        used = np.zeros(len(words), dtype=bool)
+        used[place[later]] = True
+        number = np.zeros(len(words), dtype=np.int64)
+        number[used] = self.of_words(words.filter(pa.array(used)))
+        number = number[place]
+        number[first] = self.of_heads(pc.if_else(whole, texts, words.take(pa.array(place[first]))).to_pylist())
+        begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.pool[np.repeat(begin - total[:-1], size) + np.arange(total[-1])], total[at]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        ids, at = self.flat(pa.array(texts, pa.string()))
+        blob = ids.tobytes()
+        return [blob[4 * a:4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]
+
 
 def encoder(path: str) -> Encoder:
     """One for each Python worker; what it has learned is dropped at the end of a task."""
@@ -96,25 +152,23 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, end = encoder(path), struct.pack("<I", end_id)
-        for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.slice(at, 500)
-                row, piece, start, blobs = [], [], [], []
-                for i, ids in enumerate(encode_texts([x or "" for x in part.column("text").to_pylist()])):
-                    ids += end
-                    n = len(ids) // 4
-                    bounds = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                    for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                        row.append(i)
-                        piece.append(k)
-                        start.append(a)
-                        blobs.append(ids[4 * a:4 * b])
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array([len(x) // 4 for x in blobs], pa.int64()), pa.array(blobs, pa.binary()),
-                ], ["doc_id", "piece", "start", "length", "ids"])
-        encode_texts.known.clear()  # a worker's memory is for its next task
+        encode_texts = encoder(path)
+        for part in (whole.slice(at, SLICE) for whole in batches for at in range(0, len(whole), SLICE)):
+            ids, at = encode_texts.flat(part.column("text").fill_null(""))
+            ids = np.insert(ids, at[1:], end_id).astype("<u4", copy=False)
+            size = np.diff(at) + 1
+            n = -(-size // capacity)
+            row = np.repeat(np.arange(len(size)), n)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            head = ((size - 1) % capacity + 1)[row]
+            length = np.where(piece == 0, head, capacity)
+            start = np.where(piece == 0, 0, head + (piece - 1) * capacity)
+            ends = np.concatenate([[0], np.cumsum(4 * length)])
+            blobs = pa.Array.from_buffers(pa.large_binary(), len(row), [None, pa.py_buffer(ends.astype("<i8")), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([
+                part.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), blobs.cast(pa.binary()),
+            ], ["doc_id", "piece", "start", "length", "ids"])
+        encode_texts.forget()
         give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()

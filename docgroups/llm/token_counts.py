@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, path: str, rule: str = "first", sections: Call
                     part.column("doc_id").take(pa.array(row, pa.int64())), pa.array(number, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(end, pa.int64()), pa.array(np.concatenate(tokens) if tokens else [], pa.float64()),
                 ], ["doc_id", "section", "start", "end", "n_tokens"])
-        encode.known.clear()  # a worker's memory is for its next task
+        encode.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, section int, start long, end long, n_tokens double")
