@@ -20,6 +20,8 @@ from docgroups.llm.batches import bounded, give_back
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 3000
 SWITCH_PENALTY = 12.0
+RUN_CHARS = 4 * chars.CHUNK  # texts labelled together
+SCORED_CHARS = chars.CHUNK // 2  # of them scored at once
 SMOOTHING = 0.1
 SCRIPT_SHARE = 0.005
 UNDETERMINED = "und"
@@ -162,7 +164,7 @@ def viterbi(scores: np.ndarray, offsets: np.ndarray, prior: np.ndarray, penalty:
 
 def _label(model: Model, texts: list[str | None], penalty: float) -> Iterator[tuple[list, list, list]]:
     """For runs of texts: labels, shares and spans ``(start, end, lang)``."""
-    for first, end, points, offsets in chars.chunks(texts, 10 * chars.CHUNK):
+    for first, end, points, offsets in chars.chunks(texts, RUN_CHARS):
         n, langs = end - first, len(model.langs)
         if not langs:
             yield [UNDETERMINED] * n, [0.0] * n, [[]] * n
@@ -170,7 +172,7 @@ def _label(model: Model, texts: list[str | None], penalty: float) -> Iterator[tu
         starts, ends, scores = [], [], []
         cut = 0
         while cut < n:  # scores of a few texts at a time: their trigrams take more room than their words
-            stop = max(cut + 1, int(np.searchsorted(offsets, offsets[cut] + chars.CHUNK, side="right")) - 1)
+            stop = max(cut + 1, int(np.searchsorted(offsets, offsets[cut] + SCORED_CHARS, side="right")) - 1)
             part = points[offsets[cut]:offsets[stop]]
             s, e = chars.words(part)
             scores.append(emissions(model, part, s, e))
