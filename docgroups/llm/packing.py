@@ -32,9 +32,11 @@ COLUMNS = 8
 LONG_BONUS = 0.05
 WEIGHT_SHARE = 0.01
 RANK_ROWS = 1_000
-CACHE_ENTRIES = 400_000
-CACHE_IDS = 4_000_000
-SLICE = 1_000
+CACHE_ENTRIES = 100_000
+CACHE_IDS = 1_000_000
+SLICE_BYTES = 700_000  # of text that is cut at once; a longer text is a slice of its own
+SLICE_CUTS = 1 << 14  # whose ids are copied at once
+LEARN_CUTS = 4_000  # that the tokenizer gets as one text
 BLANKS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # all that Unicode calls white space
 UNSAFE = rf"{BLANKS} | {BLANKS}|^ | $|\x00"
 
@@ -89,10 +91,12 @@ class Encoder:
 
     def of_words(self, words: pa.Array) -> np.ndarray:
         """Numbers of distinct cuts with a blank before them."""
-        fresh = words.filter(pc.is_null(pc.index_in(words, value_set=self.known)))
-        for at in range(0, len(fresh), 20_000):
-            self.learn(fresh.slice(at, 20_000))
-        return self.numbers[np.array(pc.index_in(words, value_set=self.known), dtype=np.int64)]
+        at = np.array(pc.index_in(words, value_set=self.known).fill_null(-1))
+        fresh = words.filter(pa.array(at < 0))
+        at[at < 0] = np.arange(len(self.known), len(self.known) + len(fresh))
+        for start in range(0, len(fresh), LEARN_CUTS):
+            self.learn(fresh.slice(start, LEARN_CUTS))
+        return self.numbers[at]
 
     def of_heads(self, heads: list[str]) -> list[int]:
         """Numbers of cuts as they are; long ones are whole texts and not kept."""
@@ -118,8 +122,10 @@ class Encoder:
         cuts = pc.split_pattern(pc.if_else(whole, "", texts), " ")
         at = np.array(cuts.offsets, dtype=np.int64)
         at -= at[0]
-        words = cuts.flatten().dictionary_encode()
-        place, words = np.array(words.indices, dtype=np.int64), words.dictionary
+        words = cuts.flatten()
+        del cuts
+        words = words.dictionary_encode()
+        place, words = np.array(words.indices), words.dictionary
         first = at[:-1]
         later = np.ones(len(place), dtype=bool)
         later[first] = False
@@ -129,9 +135,13 @@ class Encoder:
         number[used] = self.of_words(words.filter(pa.array(used)))
         number = number[place]
         number[first] = self.of_heads(pc.if_else(whole, texts, words.take(pa.array(place[first]))).to_pylist())
-        begin, size = self.ends[number], self.ends[number + 1] - self.ends[number]
-        total = np.concatenate([[0], np.cumsum(size)])
-        return self.pool[np.repeat(begin - total[:-1], size) + np.arange(total[-1])], total[at]
+        total = np.concatenate([[0], np.cumsum(self.ends[number + 1] - self.ends[number])])
+        ids = np.empty(total[-1], dtype="<u4")
+        for start in range(0, len(number), SLICE_CUTS):
+            part = number[start:start + SLICE_CUTS]
+            begin, size, to = self.ends[part], self.ends[part + 1] - self.ends[part], total[start:start + len(part) + 1]
+            ids[to[0]:to[-1]] = self.pool[np.repeat(begin - to[:-1], size) + np.arange(to[0], to[-1])]
+        return ids, total[at]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         ids, at = self.flat(pa.array(texts, pa.string()))
@@ -139,6 +149,13 @@ class Encoder:
         return [blob[4 * a:4 * b] for a, b in zip(at.tolist(), at[1:].tolist())]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of the rows with about ``SLICE_BYTES`` of ``text`` each: what cutting a run holds follows its text, not its rows."""
+    run = np.cumsum(np.array(pc.binary_length(batch.column("text")).fill_null(0), dtype=np.int64)) // SLICE_BYTES
+    ends = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(batch)]
+    return (batch.slice(a, b - a) for a, b in zip(ends, ends[1:]) if a < b)
+
+
 def encoder(path: str) -> Encoder:
     """One for each Python worker; what it has learned is dropped at the end of a task."""
     return once(f"encoder {path}", lambda: Encoder(path))
@@ -153,7 +170,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = CAPACITY
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(path)
-        for part in (whole.slice(at, SLICE) for whole in batches for at in range(0, len(whole), SLICE)):
+        for part in (part for whole in batches for part in slices(whole)):
             ids, at = encode_texts.flat(part.column("text").fill_null(""))
             ids = np.insert(ids, at[1:], end_id).astype("<u4", copy=False)
             size = np.diff(at) + 1
