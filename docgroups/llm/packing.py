@@ -32,11 +32,11 @@ COLUMNS = 8
 LONG_BONUS = 0.05
 WEIGHT_SHARE = 0.01
 RANK_ROWS = 1_000
-CACHE_ENTRIES = 100_000
-CACHE_IDS = 1_000_000
-SLICE_BYTES = 700_000  # of text that is cut at once; a longer text is a slice of its own
+CACHE_ENTRIES = 400_000
+CACHE_IDS = 4_000_000
+SLICE_BYTES = 1_500_000  # of text that is cut at once; a longer text is a slice of its own
 SLICE_CUTS = 1 << 14  # whose ids are copied at once
-LEARN_CUTS = 4_000  # that the tokenizer gets as one text
+LEARN_CUTS = 8_000  # that the tokenizer gets as one text
 BLANKS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # all that Unicode calls white space
 UNSAFE = rf"{BLANKS} | {BLANKS}|^ | $|\x00"
 
