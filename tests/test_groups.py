@@ -37,6 +37,23 @@ def agglomerate(dist, pick):
     return heights, cuts
 
 
+def agglomerate_fast(dist):
+    """``agglomerate`` with mean distances that are updated, for more rows."""
+    dist, size = dist.copy(), np.ones(len(dist))
+    np.fill_diagonal(dist, np.inf)
+    groups, heights, cuts = {i: [i] for i in range(len(dist))}, [], {}
+    while len(groups) > 1:
+        a, b = sorted(np.unravel_index(dist.argmin(), dist.shape))
+        heights.append(dist[a, b])
+        mean = (size[a] * dist[a] + size[b] * dist[b]) / (size[a] + size[b])
+        size[a] += size[b]
+        dist[a], dist[:, a] = mean, mean
+        dist[b] = dist[:, b] = dist[a, a] = np.inf
+        groups[a] = groups[a] + groups.pop(b)
+        cuts[len(groups)] = sorted(sorted(g) for g in groups.values())
+    return heights, cuts
+
+
 @pytest.mark.parametrize("block_rows", [8192, 7])
 def test_average_linkage(spark, block_rows):
     rng = np.random.default_rng(0)
@@ -55,6 +72,37 @@ def test_average_linkage(spark, block_rows):
             assert partition([r["labels"][g] for r in labels if r["run"] == run]) == cuts[k]
 
 
+@pytest.mark.parametrize("settings", [{}, {"subset_groups": 100}])
+def test_average_linkage_of_noise_takes_few_rounds(spark, monkeypatch, settings):
+    """Rows about equally far apart join a growing group one by one; a round each took more than 100 searches here."""
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(4, 32)), 75, axis=0) + rng.normal(size=(300, 32)) * 1.5
+    searches, search = [], linkage._nearest_groups
+    monkeypatch.setattr(linkage, "_nearest_groups", lambda *given: searches.append(1) or search(*given))
+    rows = table(spark, x, 0)
+    merges = linkage.average_merges(rows, **settings)
+    heights, cuts = agglomerate_fast(distances(x))
+    assert sorted(r["height"] for r in merges.collect()) == pytest.approx(heights, abs=1e-9)
+    labels = linkage.cut_merges(rows, merges, [4, 30]).orderBy("id").collect()
+    for g, k in enumerate([4, 30]):
+        assert partition([r["labels"][g] for r in labels]) == cuts[k]
+    assert len(searches) <= 16
+
+
+@pytest.mark.parametrize("subset_groups", [11])
+def test_average_linkage_in_subsets(spark, subset_groups):
+    """Two runs, copies and zero rows, with subsets that hold a part of the groups."""
+    x = np.random.default_rng(5).normal(size=(40, 4))
+    x[10], x[20], x[7], x[30] = x[3], x[3], 0, 0
+    rows = table(spark, x, 0).unionByName(table(spark, x[:, :3], 1))
+    got = linkage.average_merges(rows, subset_groups=subset_groups).collect()
+    for run, data in ((0, x), (1, x[:, :3])):
+        whole = distances(data)
+        whole[7, 30] = whole[30, 7] = 1.0
+        heights, _ = agglomerate(whole, np.mean)
+        assert sorted(r["height"] for r in got if r["run"] == run) == pytest.approx(sorted(heights), abs=1e-9)
+
+
 def test_zero_rows_merge_last(spark):
     rng = np.random.default_rng(1)
     x = np.abs(rng.normal(size=(20, 3)))
