@@ -186,3 +186,24 @@ def test_approximate_neighbours_of_few_rows(spark):
 
     one = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vec array<double>")
     assert approximate.approximate_neighbours(one, 3).isEmpty() and approximate.approximate_neighbours(one.limit(0), 3).isEmpty()
+
+
+@pytest.mark.parametrize("side_bytes", [64 * 1024 * 1024, 4000])
+def test_euclidean_silhouette_in_parts(spark, side_bytes):
+    """Sums of a row are handed on once for each part of all rows, and groupings, copies and zero rows count as by brute force."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(90, 5))
+    x[4], x[60], x[7], x[8] = x[3], x[3], 0, 0
+    labels = np.stack([rng.integers(2, size=90), rng.integers(6, size=90)], axis=1)
+    rows = [(i, v.tolist(), c.tolist()) for i, (v, c) in enumerate(zip(x, labels))]
+    grouped = spark.createDataFrame(rows, "id long, vec array<double>, labels array<int>")
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    u = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+    dist = np.sqrt(((u[:, None, :] - u[None, :, :]) ** 2).sum(axis=2))
+    found = {r["id"]: r for r in silhouette.euclidean_silhouettes(grouped, [2, 6], side_bytes).collect()}
+    for i in range(90):
+        for g in range(2):
+            means = {c: dist[i, labels[:, g] == c].sum() / ((labels[:, g] == c).sum() - (c == labels[i, g])) for c in set(labels[:, g])}
+            a = means.pop(labels[i, g])
+            assert found[i]["a"][g] == pytest.approx(a, abs=1e-7)
+            assert found[i]["b"][g] == pytest.approx(min(means.values()), abs=1e-7)
