@@ -207,3 +207,19 @@ def test_euclidean_silhouette_in_parts(spark, side_bytes):
             a = means.pop(labels[i, g])
             assert found[i]["a"][g] == pytest.approx(a, abs=1e-7)
             assert found[i]["b"][g] == pytest.approx(min(means.values()), abs=1e-7)
+
+
+def test_passes_of_the_joined_svd_leave_no_tables(spark, monkeypatch):
+    """Each pass left three tables of all terms; now the tables written anew do not grow with the passes."""
+    corpus = spark.createDataFrame([(i, f"w{i % 3} v{i % 5} u{i % 7}") for i in range(30)], "doc_id long, text string")
+    weights, vocabulary = (reduce.cut(t) for t in tfidf.build_tfidf(corpus))
+    fresh, cut = [], reduce.cut
+    monkeypatch.setattr(reduce, "cut", lambda df, path=None: fresh.append(path) or (cut(df, path) if path else cut(df)))
+    counts = []
+    for passes in (1, 3):
+        monkeypatch.setattr(reduce, "PASSES", passes)
+        monkeypatch.setattr(reduce, "MAX_PASSES", passes)
+        fresh.clear()
+        reduce.truncated_svd(weights, vocabulary, corpus, 2, basis_bytes=0)
+        counts.append((len([path for path in fresh if path is None]), len({path for path in fresh if path and "basis" in path})))
+    assert counts[0][0] == counts[1][0] and counts[1][1] == 2
