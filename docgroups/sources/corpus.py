@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 from collections.abc import Iterator
 
@@ -22,6 +24,11 @@ TABLES = {
 }
 # The folder of rows without a value, and the characters a folder's name cannot hold, as Spark's writer has them.
 NO_GROUP = "__HIVE_DEFAULT_PARTITION__"
+# What Spark escapes in the path of a file.
+QUOTED = re.compile(r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]""")
+LISTED_AT_ONCE = 4096  # files of a batch of paths
+POSTS_A_TASK = 20_000
+READ_BYTES = 4 * 1024 * 1024  # of texts in a batch
 UNSAFE = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
 
 
@@ -80,20 +87,100 @@ def write_posts(rows: DataFrame, group: str, path: str) -> None:
     texts.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
+def _hidden(name: str) -> bool:
+    """Names that Spark's readers pass over."""
+    return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+
+def _children(store: fs.FileSystem, folder: str) -> Iterator[tuple[str, bool, int]]:
+    """``(path, is a folder, size)`` of what a folder holds; of a local one an entry at a time."""
+    if isinstance(store, fs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for x in found:
+                yield x.path, x.is_dir(), 0 if x.is_dir() else x.stat().st_size
+    else:
+        for x in store.get_file_info(fs.FileSelector(folder)):
+            yield x.path, x.type == fs.FileType.Directory, x.size or 0
+
+
+def _post_paths(store: fs.FileSystem, folder: str) -> Iterator[str]:
+    """Files below a folder that are not empty, as Spark's readers find them."""
+    for path, is_folder, size in _children(store, folder):
+        if _hidden(path.rsplit("/", 1)[-1]):
+            continue
+        if is_folder:
+            yield from _post_paths(store, path)
+        elif size:
+            yield path
+
+
+def _stored_posts(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(file, value)`` of all files below ``path``, found and read by tasks; None where Arrow does not know the store or the path.
+
+    Spark's reader lists the files on the driver and keeps each of them there. Here the driver sees the folders in ``path``, one by one.
+    """
+    context = spark.sparkContext
+    asked = context._jvm.org.apache.hadoop.fs.Path(path)
+    uri = asked.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(asked).toUri()
+    scheme, host = uri.getScheme(), uri.getAuthority()
+    place = f"{scheme}://{host or ''}{uri.getRawPath()}"
+    try:
+        store, root = fs.FileSystem.from_uri(place)
+        if store.get_file_info(root).type != fs.FileType.Directory:
+            return None
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return None
+    # Some of Arrow's paths start with the host, which for them is a bucket.
+    start = f"{scheme}:{f'//{host}' if host else ''}" if root.rstrip("/") == uri.getPath().rstrip("/") else f"{scheme}://"
+    tops = [(x, is_folder, size) for x, is_folder, size in _children(store, root) if not _hidden(x.rsplit("/", 1)[-1]) and (is_folder or size)]
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = fs.FileSystem.from_uri(place)
+        for batch in batches:
+            for top, is_folder in zip(batch["top"].to_pylist(), batch["is_folder"].to_pylist()):
+                paths = _post_paths(store, top) if is_folder else iter([top])
+                while some := list(itertools.islice(paths, LISTED_AT_ONCE)):
+                    yield pa.RecordBatch.from_pydict({"path": pa.array(some, pa.string())})
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = fs.FileSystem.from_uri(place)
+        for batch in batches:
+            files, values, held = [], [], 0
+            for path in batch["path"].to_pylist():
+                with store.open_input_stream(path, compression="detect") as post:
+                    values.append(post.read())
+                files.append(f"{start}{QUOTED.sub(lambda m: ''.join(f'%{x:02X}' for x in m[0].encode()), path)}")
+                held += len(values[-1])
+                if held >= READ_BYTES:
+                    yield pa.RecordBatch.from_pydict({"file": files, "value": pa.array(values, pa.binary())})
+                    files, values, held = [], [], 0
+            if files:
+                yield pa.RecordBatch.from_pydict({"file": files, "value": pa.array(values, pa.binary())})
+
+    top = spark.createDataFrame([x[:2] for x in tops], "top string, is_folder boolean").repartition(max(1, len(tops)))
+    paths = cut(top.mapInArrow(listed, "path string"))
+    parts = max(context.defaultParallelism, -(-paths.count() // POSTS_A_TASK))
+    posts = paths.repartition(parts, "path").mapInArrow(read, "file string, value binary")
+    return posts.select("file", F.col("value").cast("string").alias("value"))
+
+
 def read_posts(spark: SparkSession, path: str, clean: bool = True, depth: int = 1) -> DataFrame:
     """One post per file, the folder name being its group: ``path/<group>/<post>``.
 
     The group is the folder ``depth`` levels above the file; of a folder ``name=value`` it is the value. ``file`` is the
     whole path, which no two posts share. The files, however many, are opened once, and their texts kept in a table.
     """
-    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    files = _stored_posts(spark, path)
+    if files is None:
+        files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+        files = files.select(F.col("_metadata.file_path").alias("file"), "value")
+    parts = F.split("file", "/")
     text = known_text(F.col("value"))
     rows = files.select(
-        F.xxhash64("_metadata.file_path").alias("doc_id"),
+        F.xxhash64("file").alias("doc_id"),
         (clean_post(text) if clean else text).alias("text"),
         F.regexp_replace(F.element_at(parts, -1 - depth), "^[^=]*=", "").alias("label_name"),
-        F.col("_metadata.file_path").alias("file"),
+        "file",
     )
     return encode_labels(cut(rows), "label_name").select("doc_id", "text", "label", "label_name", "file")
 

@@ -87,3 +87,22 @@ def test_parts_of_token_counts_follow_the_text(spark, monkeypatch):
     # 12,002 bytes; one part before, whatever the text, as Spark joined parts up to its own size.
     assert counts.rdd.getNumPartitions() == 121
     assert {r["doc_id"]: r["tf"] for r in counts.collect()} == {0: 21, **{i: 20 for i in range(1, 200)}}
+
+
+def test_posts_are_listed_by_tasks(spark, tmp_path, monkeypatch):
+    """The driver listed every post and kept what it found; names, texts and paths stay those of Spark's reader."""
+    names = ["lang=en/a.txt", "lang=en/b c%41.txt", "lang=é ü/[x]{y}^`|#?\"<>.txt", "lang=x%20/deep/er/n~!$&'()*+,;@=.txt", "top.txt", "_lang=1/p.txt",
+             "lang=en/_hidden", "lang=en/.hidden", "_lang/p.txt", ".lang/p.txt", "lang=en/empty.txt", "lang=en/p._COPYING_"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"" if "empty" in name else f"From: {name}\n\nA line\nand \xe9 more".encode("latin-1", "replace"))
+    monkeypatch.setattr(corpus, "POSTS_A_TASK", 3)
+    monkeypatch.setattr(corpus, "LISTED_AT_ONCE", 2)
+    whole = corpus.read_posts
+    with monkeypatch.context() as m:
+        m.setattr(corpus, "_stored_posts", lambda spark, path: None)
+        old = sorted(map(tuple, whole(spark, str(tmp_path), clean=False).collect()))
+    read = type(spark.read)
+    monkeypatch.setattr(read, "text", lambda *a, **k: pytest.fail("the driver lists the posts"))
+    assert sorted(map(tuple, whole(spark, str(tmp_path), clean=False).collect())) == old
+    assert len(old) == 6
