@@ -123,3 +123,27 @@ def test_sweep_rows_meet_groups_of_one_key(spark, monkeypatch):
     got = silhouette.many_group_silhouettes(df, ("run",), group_block=8)
     assert got.count() == 120
     assert all("lit(0)" in str(b) or str(b) == "Column<'0'>" for b in sent)
+
+
+def test_sparse_products_are_not_dense_over_the_terms(monkeypatch):
+    """A tile held all terms of its rows as dense columns; now a cell's most frequent ones alone, and the products are the same."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x = (rng.random((60, 400)) < 1 / (2 + np.arange(400))) * rng.random((60, 400))
+    x[7] = 0
+    idx = [np.flatnonzero(r) for r in x]
+    rows = pa.table({"idx": pa.array(idx, pa.list_(pa.int64())), "val": pa.array([r[i] for r, i in zip(x, idx)], pa.list_(pa.float64()))})
+    held = []
+    zeros = np.zeros
+    monkeypatch.setattr(geometry.np, "zeros", lambda shape, *a, **k: held.append(shape) or zeros(shape, *a, **k))
+    monkeypatch.setattr(geometry, "COMMON_TERMS", 20, raising=False)
+    monkeypatch.setattr(geometry, "RARE_ROWS", 9, raising=False)
+    table = rows.append_column("block", pa.array([0] * 25 + [1] * 35)).append_column("ci", pa.array([0] * 60)).append_column("cj", pa.array([1] * 60))
+    got = np.full((60, 60), np.nan)
+    for a, b, dist in geometry.cosine_tiles(table, 16, 10):
+        got[np.ix_(a, b)] = dist
+    u = unit_matrix(x)
+    want = np.clip(1 - u @ u.T, 0, 2)
+    assert np.allclose(got[:25, 25:], want[:25, 25:]) and np.allclose(got[25:, :25], want[25:, :25]) and np.isnan(got[:25, :25]).all()
+    assert max(s[1] for s in held if isinstance(s, tuple) and len(s) == 2) <= 20
